@@ -89,47 +89,37 @@ def padded(column: Column, width: int) -> Column:
 
 def adzuna(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw Adzuna snapshots from orders: one offer per customer, seen on each order date."""
-    key, cust, price = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice")
-    place, salary = cust % 28, key % 9
-    departement = F.concat(
-        F.when(key % 3 == 0, "NATION_").when(key % 3 == 1, "nation_").otherwise("Nâtion_"), text(place)
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "*",
+        "o_orderkey % 9 AS salary",
+        "o_custkey % 28 AS place",
+        "get(array('NATION_', 'nation_', 'Nâtion_'), cast(o_orderkey % 3 AS int)) || o_custkey % 28 AS dept",
+        "double(floor(o_totalprice / 4)) AS quarter",
+        "double(floor(o_totalprice / 2)) AS half",
     )
-    area = F.array(F.lit("France"), F.concat(F.lit("Région "), text(place % 5)), departement)
-    quarter, monthly, half = F.floor(price / 4), F.floor(price / 100), F.floor(price / 2)
-    low = (
-        F.when(salary.isin(1, 8), quarter.cast("double"))
-        .when(salary == 3, monthly.cast("double"))
-        .when(salary == 4, 14999.5)
-        .when(salary == 5, 0.0)
-        .when(salary == 6, 2000.0)
-        .when(salary == 7, half.cast("double"))
-    )
-    high = (
-        F.when(salary == 1, (quarter + 5000).cast("double"))
-        .when(salary == 2, quarter.cast("double"))
-        .when(salary == 5, 50000.0)
-        .when(salary == 6, 40000.0)
-        .when(salary == 7, (half + 10000).cast("double"))
-    )
-    return table(spark, sf_dir, "orders").select(
-        text(cust).alias("offre_id"),
-        pick(TITLES, key % len(TITLES)).alias("titre"),
-        F.concat_ws(" ", "o_orderstatus", "o_orderpriority").alias("description"),
-        F.expr("cast(o_orderdate as timestamp) + (o_orderkey % 86400) * interval 1 second").alias("date_creation"),
-        F.when(key % 11 != 0, F.concat(F.lit("Entreprise "), text(key % 97))).alias("entreprise_nom"),
-        F.when(key % 101 != 0, departement).alias("localisation_libelle"),
-        F.when(key % 4 != 0, F.slice(area, 1, (key % 4).cast("int"))).alias("localisation_area"),
-        (price / 10000).alias("latitude"),
-        (price / 20000).alias("longitude"),
-        low.alias("salaire_min"),
-        high.alias("salaire_max"),
-        (key % 2).alias("salaire_est_estime"),
-        F.when(key % 5 != 0, "permanent").alias("type_contrat"),
-        F.when(key % 7 != 0, "full_time").alias("temps_travail"),
-        F.lit("it-jobs").alias("categorie_tag"),
-        F.col("o_orderpriority").alias("categorie_libelle"),
-        F.concat(F.lit("https://offres.example/"), text(key)).alias("redirect_url"),
-        F.col("o_orderdate").cast("date").alias("_ingestion_date"),
+    return orders.select(pick(TITLES, F.col("o_orderkey") % len(TITLES)).alias("titre"), "*").selectExpr(
+        "string(o_custkey) AS offre_id",
+        "titre",
+        "o_orderstatus || ' ' || o_orderpriority AS description",
+        "timestamp(o_orderdate) + (o_orderkey % 86400) * interval 1 second AS date_creation",
+        "CASE WHEN o_orderkey % 11 <> 0 THEN 'Entreprise ' || o_orderkey % 97 END AS entreprise_nom",
+        "CASE WHEN o_orderkey % 101 <> 0 THEN dept END AS localisation_libelle",
+        "CASE WHEN o_orderkey % 4 <> 0 THEN slice(array('France', 'Région ' || place % 5, dept), 1, int(o_orderkey % 4)) END"
+        " AS localisation_area",
+        "o_totalprice / 10000 AS latitude",
+        "o_totalprice / 20000 AS longitude",
+        "CASE WHEN salary IN (1, 8) THEN quarter WHEN salary = 3 THEN double(floor(o_totalprice / 100))"
+        " WHEN salary = 4 THEN 14999.5D WHEN salary = 5 THEN 0D WHEN salary = 6 THEN 2000D WHEN salary = 7 THEN half END"
+        " AS salaire_min",
+        "CASE WHEN salary = 1 THEN quarter + 5000 WHEN salary = 2 THEN quarter WHEN salary = 5 THEN 50000D"
+        " WHEN salary = 6 THEN 40000D WHEN salary = 7 THEN half + 10000 END AS salaire_max",
+        "o_orderkey % 2 AS salaire_est_estime",
+        "CASE WHEN o_orderkey % 5 <> 0 THEN 'permanent' END AS type_contrat",
+        "CASE WHEN o_orderkey % 7 <> 0 THEN 'full_time' END AS temps_travail",
+        "'it-jobs' AS categorie_tag",
+        "o_orderpriority AS categorie_libelle",
+        "'https://offres.example/' || o_orderkey AS redirect_url",
+        "date(o_orderdate) AS _ingestion_date",
     )
 
 

@@ -593,8 +593,8 @@ def d9(spark, sf):
 @query("d9_job_category_texts", f"SELECT doc_id, {category_case('lower(text)')} AS categorie_metier FROM documents")
 def d9_texts(spark, sf):
     """The same patterns over whole documents."""
-    category = titles.job_category(titles.normalised_title(F.col("text")))
-    return inputs.table(spark, sf, "documents").select("doc_id", category.alias("categorie_metier"))
+    lowered = inputs.table(spark, sf, "documents").select("doc_id", titles.normalised_title(F.col("text")).alias("text"))
+    return lowered.select("doc_id", titles.job_category(F.col("text")).alias("categorie_metier"))
 
 
 @query("d10_flags", _step(["is_metier_data", "is_data_engineer"]))

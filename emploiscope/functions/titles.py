@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +22,20 @@ OTHER_CATEGORY = "autre_it"
 
 CATEGORIES = (*CATEGORY_PATTERNS, OTHER_CATEGORY)
 
+# Text that every match of a category's pattern contains: one word out of each group.
+# Plain substring tests on these rule most texts out before a pattern runs.
+REQUIRED_WORDS = {
+    "data_engineer": [["data", "donn", "dceo"], ["engineer", "nieur", "veloppeur"]],
+    "data_architect": [["data", "donn"], ["architect"]],
+    "data_analyst": [["data", "donn"], ["analyst"]],
+    "bi_decisionnel": [
+        ["bi", "cisionnel", "intelligence"],
+        ["veloppeur", "analyst", "consultant", "nieur", "power", "developer"],
+    ],
+    "ml_engineer": [["ml", "machine"], ["mlops", "engineer", "nieur"]],
+    "data_scientist": [["data"], ["scientist"]],
+}
+
 # RE2 knows only ASCII word characters and leaves the vertical tab out of \s; Java differs.
 _SPACE = r"[\t\n\f\r ]"
 _BOUNDARY = r"(?:(?<=[0-9A-Za-z_])(?![0-9A-Za-z_])|(?<![0-9A-Za-z_])(?=[0-9A-Za-z_]))"
@@ -37,18 +54,23 @@ def normalised_title(title: Column) -> Column:
     return F.lower(title)
 
 
+def may_match(title: Column, category: str) -> Column:
+    """False only where the category's pattern cannot occur in ``title``."""
+    groups = (reduce(or_, (F.contains(title, F.lit(word)) for word in words)) for words in REQUIRED_WORDS[category])
+    return reduce(and_, groups)
+
+
 def job_category(title: Column) -> Column:
     """First category whose pattern occurs in the lower-cased ``title``; NULL is ``autre_it``."""
-    (first, pattern), *others = CATEGORY_PATTERNS.items()
-    chain = F.when(regexp_contains(title, pattern), first)
-    for category, pattern in others:
-        chain = chain.when(regexp_contains(title, pattern), category)
+    chain = F
+    for category, pattern in CATEGORY_PATTERNS.items():
+        chain = chain.when(may_match(title, category) & regexp_contains(title, pattern), category)
     return chain.otherwise(OTHER_CATEGORY)
 
 
 def is_data_job(category: Column) -> Column:
-    return F.coalesce(category != OTHER_CATEGORY, F.lit(False))
+    return F.when(category != OTHER_CATEGORY, True).otherwise(False)
 
 
 def is_data_engineer(category: Column) -> Column:
-    return F.coalesce(category == "data_engineer", F.lit(False))
+    return F.when(category == "data_engineer", True).otherwise(False)

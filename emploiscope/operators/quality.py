@@ -87,14 +87,15 @@ def wrong(check: Check) -> Column:
 
 
 def _row_report(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
-    # Rows failing nothing drop out in the scan's filter; each failure then becomes one
-    # (check, value) pair, counted per pair before the report line adds them up.
-    failing = df.filter(reduce(lambda left, right: left | right, map(wrong, checks)))
+    # Each failure becomes one (check, value) pair, counted per pair before the report line
+    # adds them up. The outer form keeps Spark from pushing a copy of every check, and of
+    # the expressions behind the checked columns, below the projection that computes them.
     marks = [
         F.when(wrong(check), F.struct(F.lit(i).alias("i"), F.col(check.columns[0]).cast("string").alias("value")))
         for i, check in enumerate(checks)
     ]
-    pairs = failing.select(F.inline(F.array_compact(F.array(*marks)))).groupBy("i", "value").agg(F.count("*").alias("n"))
+    failed = df.select(F.inline_outer(F.array(*marks))).filter(F.col("i").isNotNull())
+    pairs = failed.groupBy("i", "value").agg(F.count("*").alias("n"))
     sums = [
         (F.sum(F.when(F.col("i") == i, F.col("n") if check.test == "not_null" else F.lit(1)))).alias(f"n{i}")
         for i, check in enumerate(checks)

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per doubling of the value; a double spans 2048 doublings per sign at most, which
-# bounds the number of buckets whatever the data.
+# Buckets per doubling of the value. Doubles span about 2048 doublings on each side of
+# zero, which bounds the buckets of a group whatever the data.
 _BUCKETS_PER_DOUBLING = 64
 
 
@@ -17,41 +17,49 @@ def _bucket(value: Column) -> Column:
     return F.when(value < 0, -magnitude).otherwise(magnitude)
 
 
-def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """``keys`` and the exact median of the non-NULL ``value`` as ``name``.
+def median_profile(
+    df: DataFrame, keys: Sequence[str], value: str, rows: str = "n_rows", valued: str = "n_values", median: str = "median"
+) -> DataFrame:
+    """Per ``keys``: rows, rows with a non-NULL ``value``, and the exact median of those.
 
-    Equal values are counted before anything is grouped by key. Counts per value bucket
-    (a bounded number per key) locate the one or two buckets holding the middle ranks,
-    and only those buckets' values are sorted. No task ever holds a whole group.
+    Equal values are counted before anything is grouped by key, and that one table feeds
+    the rest. Counts per value bucket (a bounded number per key) locate the one or two
+    buckets holding the middle ranks; only the values of those buckets are sorted. No task
+    ever holds a whole group.
     """
-    present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_value"))
-    counts = present.groupBy(*keys, "_value").agg(F.count("*").alias("_n")).withColumn("_bucket", _bucket(F.col("_value")))
+    number = F.col(value).cast("double").alias("_value")
+    counts = df.select(*keys, number).groupBy(*keys, "_value").agg(F.count("*").alias("_count"))
+    counts = counts.withColumn("_bucket", _bucket(F.col("_value")))
 
+    # Buckets in value order; rows without a value are the NULL bucket and get no rank.
     by_key = Window.partitionBy(*keys)
     upto = by_key.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_size"))
-    ranked = buckets.withColumn("_end", F.sum("_size").over(upto)).withColumn("_total", F.sum("_size").over(by_key))
-    low_rank, high_rank = F.floor((F.col("_total") + 1) / 2), F.floor((F.col("_total") + 2) / 2)
-    middle = (
-        ranked.withColumn("_low", low_rank)
-        .withColumn("_high", high_rank)
-        .withColumn("_start", F.col("_end") - F.col("_size"))
-        .filter((F.col("_start") < F.col("_high")) & (F.col("_end") >= F.col("_low")))
-        .select(*(F.col(k).alias(f"_m_{k}") for k in keys), F.col("_bucket").alias("_m_bucket"), "_start", "_low", "_high")
+    ranked_size = F.when(F.col("_bucket").isNotNull(), F.col("_size"))
+    buckets = counts.groupBy(*keys, "_bucket").agg(F.sum("_count").alias("_size"))
+    buckets = buckets.select(
+        *(F.col(key).alias(f"_key{i}") for i, key in enumerate(keys)),
+        F.col("_bucket").alias("_in"),
+        (F.sum(ranked_size).over(upto) - F.col("_size")).alias("_before"),
+        F.col("_size"),
+        F.sum("_size").over(by_key).alias(rows),
+        F.coalesce(F.sum(ranked_size).over(by_key), F.lit(0).cast("bigint")).alias(valued),
     )
+    low, high = F.shiftright(F.col(valued) + 1, 1), F.shiftright(F.col(valued) + 2, 1)
+    holds_middle = (F.col("_before") < high) & (F.col("_before") + F.col("_size") >= low)
+    # A group without values keeps its NULL bucket so that it is not lost.
+    middle = buckets.filter(F.when(F.col("_in").isNull(), F.col(valued) == 0).otherwise(holds_middle))
 
-    same = counts["_bucket"] == middle["_m_bucket"]
-    for key in keys:
-        same = same & counts[key].eqNullSafe(middle[f"_m_{key}"])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    candidates = (
-        counts.join(middle, same)
-        .withColumn("_last", F.col("_start") + F.sum("_n").over(inside))
-        .withColumn("_first", F.col("_last") - F.col("_n") + 1)
+    same = counts["_bucket"].eqNullSafe(middle["_in"])
+    for i, key in enumerate(keys):
+        same = same & counts[key].eqNullSafe(middle[f"_key{i}"])
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value")
+    last = F.col("_before") + F.sum("_count").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    candidates = counts.join(middle, same).select(
+        *keys, "_value", rows, valued, last.alias("_last"), (last - F.col("_count") + 1).alias("_first")
     )
 
-    def at(rank: str) -> Column:
-        return F.max(F.when(F.col(rank).between(F.col("_first"), F.col("_last")), F.col("_value")))
+    def at(rank: Column) -> Column:
+        return F.max(F.when(rank.between(F.col("_first"), F.col("_last")), F.col("_value")))
 
-    picked = candidates.groupBy(*keys).agg(at("_low").alias("_lower"), at("_high").alias("_upper"))
-    return picked.select(*keys, ((F.col("_lower") + F.col("_upper")) / 2.0).alias(name))
+    picked = candidates.groupBy(*keys, rows, valued).agg(at(low).alias("_lower"), at(high).alias("_upper"))
+    return picked.select(*keys, rows, valued, ((F.col("_lower") + F.col("_upper")) / 2.0).alias(median))

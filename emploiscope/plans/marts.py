@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from emploiscope.functions.salaries import midpoint
 from emploiscope.operators.latest import first_per_key
-from emploiscope.operators.quantile import exact_median
+from emploiscope.operators.quantile import median_profile
 
 
 def mart_offres(offers: DataFrame) -> DataFrame:
@@ -36,27 +36,22 @@ def mart_contexte_territorial(density: DataFrame, tension: DataFrame, payroll: D
 
 
 def category_salaries(offers: DataFrame, category: str = "categorie_metier") -> DataFrame:
-    """Offers and exact median annual salary per job category."""
+    """Offers and exact median annual salary per job category, in one pass over ``offers``."""
     priced = offers.select(category, midpoint(F.col("salaire_annuel_min"), F.col("salaire_annuel_max")).alias("_pay"))
-    counts = priced.groupBy(category).agg(F.count("*").alias("n_offres"), F.count("_pay").alias("n_avec_salaire"))
-    return counts.join(exact_median(priced, [category], "_pay", "salaire_annuel_median"), category, "left")
+    return median_profile(priced, [category], "_pay", "n_offres", "n_avec_salaire", "salaire_annuel_median")
 
 
 def region_summary(offers: DataFrame) -> DataFrame:
     """[declared] Where, which companies, what pay: offers, companies and median salary by region.
 
-    Offers are counted per (region, company) first; what is then grouped by region is one
-    row per company. Offers without a region form the NULL row.
+    Offers are reduced to (region, company) pairs first; what is then grouped by region is
+    one row per company. Offers without a region form the NULL row.
     """
-    per_company = offers.groupBy("nom_region", "entreprise_nom").agg(F.count("*").alias("n"))
-    totals = per_company.groupBy("nom_region").agg(
-        F.sum("n").alias("n_offres"), F.count("entreprise_nom").alias("n_entreprises")
-    )
-    medians = exact_median(offers, ["nom_region"], "salaire_annuel_milieu", "salaire_annuel_median")
-    same_region = totals["nom_region"].eqNullSafe(medians["nom_region"])
-    return totals.join(medians, same_region, "left").select(
-        totals["nom_region"], "n_offres", "n_entreprises", "salaire_annuel_median"
-    )
+    pairs = offers.select(F.col("nom_region").alias("_region"), "entreprise_nom").distinct()
+    companies = pairs.groupBy("_region").agg(F.count("entreprise_nom").alias("n_entreprises"))
+    pay = median_profile(offers, ["nom_region"], "salaire_annuel_milieu", "n_offres", "_priced", "salaire_annuel_median")
+    joined = pay.join(companies, F.col("nom_region").eqNullSafe(F.col("_region")))
+    return joined.select("nom_region", "n_offres", "n_entreprises", "salaire_annuel_median")
 
 
 def top_companies(offers: DataFrame, k: int = 10) -> DataFrame:
