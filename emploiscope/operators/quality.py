@@ -119,11 +119,11 @@ def _one_row(counted: DataFrame, model: str, check: Check) -> DataFrame:
 
 
 def repeated_keys(df: DataFrame, check: Check) -> DataFrame:
-    """Keys seen more than once, with ``n`` rows each; a single NULL key is ignored."""
+    """Keys seen more than once, with the number of ``_rows`` of each; a single NULL key is ignored."""
     rows = check.rows(df)
     if check.test == "unique":
         rows = rows.filter(F.col(check.columns[0]).isNotNull())
-    return rows.groupBy(*check.columns).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    return rows.groupBy(*check.columns).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > 1)
 
 
 def orphan_keys(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:

@@ -24,12 +24,15 @@ def keep_prefix(df: DataFrame, column: str, prefix: str) -> DataFrame:
     return df.filter(F.col(column).startswith(prefix))
 
 
-def project_paths(df: DataFrame, paths: Mapping[str, str], types: Mapping[str, DataType]) -> DataFrame:
+def project_paths(
+    df: DataFrame, paths: Mapping[str, str], types: Mapping[str, DataType], keep: Sequence[str] = ()
+) -> DataFrame:
     """Columns from dotted paths into nested JSON text (``company.display_name``).
 
     ``df`` holds top-level fields as text (``scan_json_text``). A missing level, a missing
     leaf or a scalar where an object is expected gives NULL. Each top-level field is parsed
-    once. ``types`` names the target types of columns that are not text.
+    once. ``types`` names the target types of columns that are not text; the columns of
+    ``keep`` stay as they are.
     """
     shapes: dict[str, StructType] = {}
     for path, target in paths.items():
@@ -50,7 +53,7 @@ def project_paths(df: DataFrame, paths: Mapping[str, str], types: Mapping[str, D
             return (column if rest else F.from_json(column, dtype)).alias(target)
         return column.cast(dtype).alias(target)
 
-    return df.select(*(value(path, target) for path, target in paths.items()))
+    return df.select(*(value(path, target) for path, target in paths.items()), *keep)
 
 
 def _with_leaf(shape: StructType, path: Sequence[str], leaf: DataType) -> StructType:

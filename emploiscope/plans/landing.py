@@ -42,6 +42,8 @@ ADZUNA_PATHS = {
     "created": "date_creation",
 }
 
+ADZUNA_FIELDS = list(dict.fromkeys(source.split(".")[0] for source in ADZUNA_PATHS))
+
 # Survey header -> raw column, in order; the three counts may be masked.
 BMO_HEADERS = {
     "annee": "annee",
@@ -76,10 +78,10 @@ PAYROLL_FIELDS = {
 PAYROLL_SECTOR = "62"
 
 
-def adzuna_rows(offers: DataFrame) -> DataFrame:
-    """Offers with nested fields as text -> flat typed raw columns."""
+def adzuna_rows(offers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Offers with nested fields as text -> flat typed raw columns, plus those of ``keep``."""
     types = {field.name: field.dataType for field in schemas.ADZUNA}
-    flat = project_paths(offers, ADZUNA_PATHS, types)
+    flat = project_paths(offers, ADZUNA_PATHS, types, keep)
     return flat.select(*(name for name in schemas.ADZUNA.fieldNames() if name in flat.columns))
 
 
@@ -123,8 +125,7 @@ def bmo_columns(renamed: DataFrame) -> DataFrame:
 
 def load_adzuna(spark: SparkSession, path: str, run_date: datetime.date, table: str = "raw.adzuna", **target) -> None:
     """Append one day's offers to the date-partitioned raw table; an empty file is loaded too."""
-    roots = list(dict.fromkeys(source.split(".")[0] for source in ADZUNA_PATHS))
-    rows = adzuna_rows(scan_json_text(spark, path, roots))
+    rows = adzuna_rows(scan_json_text(spark, path, ADZUNA_FIELDS))
     _append(sink.stamp(rows, run_date), table, **target)
 
 

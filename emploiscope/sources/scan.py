@@ -54,7 +54,10 @@ def scan_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def _typed(text: Column, dtype: DataType) -> Column:
-    if isinstance(dtype, (StructType, ArrayType)):
+    if isinstance(dtype, StructType):
+        # Text that is no object is NULL, not an object of NULLs.
+        return F.when(text.startswith("{"), retype(F.from_json(text, _as_text(dtype)), dtype))
+    if isinstance(dtype, ArrayType):
         return retype(F.from_json(text, _as_text(dtype)), dtype)
     return text.cast(dtype)
 
