@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emploiscope.operators.grid import DEPARTEMENTS, ROME_CODES
 
@@ -66,8 +67,15 @@ SECTORS = [
 RUN_DATE_SQL = "DATE '2026-03-20'"
 
 
+# Schemas already read, so that later reads of a file need no footer job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def pick(values: list[str | None], index: Column) -> Column:

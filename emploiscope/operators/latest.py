@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int = 1) -> DataFrame:
     """The first ``k`` rows per key in ``order``.
 
-    Spark limits each key to k rows inside every map task before the shuffle, so a key
-    holding a third of the table reaches its reducer as at most k rows per task.
+    Spark limits each key to k rows inside every map task before the shuffle (for k up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``), so a key holding a third of the table
+    reaches its reducer as at most k rows per task.
     """
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter(F.col("_rank") <= k).drop("_rank")
@@ -34,11 +35,12 @@ def last_wins(df: DataFrame, key: str, sequence: str) -> DataFrame:
     return first_per_key(df, [key], [F.col(sequence).desc()])
 
 
-def cap_per_group(df: DataFrame, groups: Sequence[str], sequence: str, k: int, spread: int = 64) -> DataFrame:
+def cap_per_group(df: DataFrame, groups: Sequence[str], sequence: str, k: int, spread: int = 1024) -> DataFrame:
     """The first ``k`` rows per group in source order, for few groups of any size.
 
     Input partitions are dealt over ``spread`` sub-groups, each cut to k, before the groups
-    are cut: a group that fills half the table is ranked by many tasks, not one.
+    are cut: a group that fills half the table is ranked by many tasks, and the last step
+    sees at most ``spread * k`` rows of it.
     """
     order = [F.col(sequence)]
     dealt = df.withColumn("_spread", F.pmod(F.spark_partition_id(), F.lit(spread)))

@@ -73,21 +73,27 @@ def with_annual_salary(typed: DataFrame) -> DataFrame:
     """Inferred periodicity, its flag, and annual bounds. A missing minimum stays missing."""
     low, high = F.col("salaire_min"), F.col("salaire_max")
     period = F.col("salaire_periodicite_inferree")
-    return (
-        typed.withColumn("salaire_periodicite_inferree", pay.salary_period(low, high))
-        .withColumn("is_salaire_periodicite_inferree", period.isNotNull())
-        .withColumn("salaire_annuel_min", pay.annual_low(period, low))
-        .withColumn("salaire_annuel_max", pay.annual_high(period, low, high))
+    return typed.select(
+        "*",
+        pay.salary_period(low, high).alias("salaire_periodicite_inferree"),
+        period.isNotNull().alias("is_salaire_periodicite_inferree"),
+        pay.annual_low(period, low).alias("salaire_annuel_min"),
+        pay.annual_high(period, low, high).alias("salaire_annuel_max"),
     )
 
 
 def with_category(offers: DataFrame) -> DataFrame:
-    """Job category of the title, computed once, and its two flags."""
+    """Job category of the title and its two flags.
+
+    The category comes out of a one-element explode, so filters on it or on the flags stay
+    above it: the patterns run once per offer, however many readers and filters follow.
+    """
     category = F.col("categorie_metier")
-    return (
-        offers.withColumn("categorie_metier", titles.job_category(F.col("titre_normalise")))
-        .withColumn("is_metier_data", titles.is_data_job(category))
-        .withColumn("is_data_engineer", titles.is_data_engineer(category))
+    once = F.explode_outer(F.array(titles.job_category(F.col("titre_normalise"))))
+    return offers.select("*", once.alias("categorie_metier")).select(
+        "*",
+        titles.is_data_job(category).alias("is_metier_data"),
+        titles.is_data_engineer(category).alias("is_data_engineer"),
     )
 
 
@@ -126,16 +132,17 @@ def stg_france_travail__offres(raw: DataFrame) -> DataFrame:
         F.col("dureeTravailLibelleConverti").alias("temps_travail"),
         "_ingestion_date",
     )
-    parsed = (
-        latest_offers(kept)
-        .withColumn("source", F.lit("france_travail"))
-        .withColumn("salaire_periodicite", pay.sentence_period(sentence))
-        .withColumn("salaire_min", pay.sentence_low(sentence))
-        .withColumn("salaire_max", pay.sentence_high(sentence))
-        .withColumn("salaire_mois", pay.sentence_months(sentence))
-        .withColumn("source_salaire", pay.salary_source(F.col("salaire_min"), F.col("salaire_max")))
-        .withColumn("salaire_annuel_min", pay.sentence_annual(period, F.col("salaire_min"), months))
-        .withColumn("salaire_annuel_max", pay.sentence_annual(period, F.coalesce("salaire_max", "salaire_min"), months))
-        .withColumn("titre_normalise", titles.normalised_title(F.col("titre")))
+    low, high = F.col("salaire_min"), F.col("salaire_max")
+    parsed = latest_offers(kept).select(
+        "*",
+        F.lit("france_travail").alias("source"),
+        pay.sentence_period(sentence).alias("salaire_periodicite"),
+        pay.sentence_low(sentence).alias("salaire_min"),
+        pay.sentence_high(sentence).alias("salaire_max"),
+        pay.sentence_months(sentence).alias("salaire_mois"),
+        pay.salary_source(low, high).alias("source_salaire"),
+        pay.sentence_annual(period, low, months).alias("salaire_annuel_min"),
+        pay.sentence_annual(period, F.coalesce(high, low), months).alias("salaire_annuel_max"),
+        titles.normalised_title(F.col("titre")).alias("titre_normalise"),
     )
     return with_category(parsed).drop("titre_normalise", "salaire_mois", "_ingestion_date")

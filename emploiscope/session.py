@@ -9,13 +9,15 @@ from pyspark.sql import SparkSession
 
 # ANSI: bad numbers fail instead of turning into NULL. UTC: timestamps are instants.
 # AQE picks broadcast or shuffle joins from measured sizes, splits skewed join
-# partitions and sizes shuffle partitions at run time.
+# partitions and sizes shuffle partitions at run time. The group-limit threshold lets a
+# per-group cap above Spark's default of 1000 still cut rows before the shuffle.
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.optimizer.windowGroupLimitThreshold": "10000",
 }
 
 # Static settings, only possible on a new session: without call-site capture, building a

@@ -27,18 +27,6 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def plan():
-    """The optimised physical plan of a DataFrame as text."""
+    """The physical plan of a DataFrame as text."""
 
-    def text(df, formatted=True):
-        execution = df._jdf.queryExecution()
-        return execution.executedPlan().toString() if not formatted else execution.toString()
-
-    return text
-
-
-SMALL = "/root/testdata/sf0.001"
-
-
-@pytest.fixture(scope="session")
-def small():
-    return SMALL
+    return lambda df: df._jdf.queryExecution().executedPlan().toString()
