@@ -52,8 +52,10 @@ def median_profile(
     same = counts["_bucket"].eqNullSafe(middle["_in"])
     for i, key in enumerate(keys):
         same = same & counts[key].eqNullSafe(middle[f"_key{i}"])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy("_value")
-    last = F.col("_before") + F.sum("_count").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # The middle buckets of a key follow each other, so one running count spans both.
+    inside = Window.partitionBy(*keys)
+    running = F.sum("_count").over(inside.orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = F.min("_before").over(inside) + running
     candidates = counts.join(middle, same).select(
         *keys, "_value", rows, valued, last.alias("_last"), (last - F.col("_count") + 1).alias("_first")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,11 +14,10 @@ FORMAT_BY_EXTENSION = {".json": "json", ".jsonl": "json", ".parquet": "parquet"}
 
 def source_format(path: str) -> str:
     """``json`` or ``parquet`` from the extension, case-insensitive; anything else is an error."""
-    lowered = path.rstrip("/").lower()
-    for extension, name in FORMAT_BY_EXTENSION.items():
-        if lowered.endswith(extension):
-            return name
-    raise ValueError(f"Unsupported file format in path: {path}")
+    extension = PurePosixPath(path).suffix.lower()
+    if extension not in FORMAT_BY_EXTENSION:
+        raise ValueError(f"No reader for {path!r}: expected one of {', '.join(FORMAT_BY_EXTENSION)}")
+    return FORMAT_BY_EXTENSION[extension]
 
 
 def scan(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

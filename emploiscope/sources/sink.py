@@ -19,7 +19,7 @@ INGESTION_DATE = "_ingestion_date"
 
 def write_mode(disposition: str) -> str:
     if disposition not in MODE_BY_DISPOSITION:
-        raise ValueError(f"Unsupported write disposition: {disposition}. Use WRITE_TRUNCATE or WRITE_APPEND.")
+        raise ValueError(f"Unknown write disposition {disposition!r}: expected one of {', '.join(MODE_BY_DISPOSITION)}")
     return MODE_BY_DISPOSITION[disposition]
 
 
