@@ -143,6 +143,7 @@ def france_travail(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 4, F.lit("A négocier"))
     )
     return table(spark, sf_dir, "events").select(
+        "event_id",
         F.concat(F.lit("FT"), text(key % 4000)).alias("id"),
         F.col("ts").cast("timestamp").alias("dateCreation"),
         pick(TITLES, key % len(TITLES)).alias("intitule"),
@@ -352,7 +353,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS offre_id,
        CAST(o_orderdate AS DATE) AS _ingestion_date
 FROM (SELECT *, (['NATION_', 'nation_', 'Nâtion_'])[1 + o_orderkey % 3] || (o_custkey % 28) AS dept FROM orders)""",
     "france_travail": f"""
-SELECT 'FT' || (event_id % 4000) AS id,
+SELECT event_id, 'FT' || (event_id % 4000) AS id,
        ts AS dateCreation,
        ({sql_list(TITLES)})[1 + event_id % {len(TITLES)}] AS intitule,
        props AS description,

@@ -326,9 +326,9 @@ def b9(spark, sf):
 def b10(spark, sf):
     """A model read back by name as a staging view and as an intermediate table."""
     model = density(spark, sf)
-    view = layers.materialise(model, "staging", "densite_vue")
+    view = layers.materialise(model, "staging", "crosscheck_densite_vue")
     location = working_folder(spark, "b10")
-    table = layers.materialise(model, "intermediate", "int_densite_sectorielle_commune", location=location)
+    table = layers.materialise(model, "intermediate", "crosscheck_densite", location=location)
     return view.withColumn("kind", F.lit("view")).unionByName(table.withColumn("kind", F.lit("table")))
 
 
@@ -799,6 +799,172 @@ def f7_top(spark, sf):
     return marts.top_companies(mart_offers(spark, sf))
 
 
+# Whole loads, from landed files to a raw table read back by name.
+
+
+# Not "raw": a query must never touch a table someone uses.
+LAYER = "crosscheck_raw"
+
+
+def _raw(spark: SparkSession, table: str, write: Callable[[str, str], object]) -> DataFrame:
+    """Let ``write`` fill a new table, given its name and folder; a former one is forgotten first."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {LAYER}")
+    spark.sql(f"DROP TABLE IF EXISTS {LAYER}.{table}")
+    write(f"{LAYER}.{table}", working_folder(spark, table))
+    return spark.table(f"{LAYER}.{table}")
+
+
+def _landed(spark: SparkSession, rows: DataFrame, source: str) -> str:
+    path = sink.landing_path(working_folder(spark, "landing"), source, RUN_DATE, f"{source}.jsonl")
+    return sink.export_jsonl(rows, path)
+
+
+@query(
+    "load_adzuna",
+    f"""
+SELECT CAST(event_id AS VARCHAR) AS offre_id, event_type AS titre, 'Société ' || user_id AS entreprise_nom,
+       CASE WHEN event_id % 2 = 0 THEN 'France|Région ' || user_id END AS area, value AS salaire_min,
+       event_id % 2 AS salaire_est_estime, {inputs.RUN_DATE_SQL} AS _ingestion_date
+FROM events""",
+)
+def load_adzuna(spark, sf):
+    key, user = F.col("event_id"), F.col("user_id").cast("string")
+    area = F.array(F.lit("France"), F.concat(F.lit("Région "), user))
+    rows = inputs.table(spark, sf, "events").select(
+        key.alias("id"),
+        F.col("event_type").alias("title"),
+        F.struct(F.concat(F.lit("Société "), user).alias("display_name"), F.lit("C").alias("__CLASS__")).alias("company"),
+        F.struct(F.when(key % 2 == 0, area).alias("area")).alias("location"),
+        F.col("value").alias("salary_min"),
+        (key % 2).cast("string").alias("salary_is_predicted"),
+        F.lit("dropped").alias("adref"),
+    )
+    path = _landed(spark, rows, "adzuna")
+    table = _raw(spark, "adzuna", lambda name, where: landing.load_adzuna(spark, path, RUN_DATE, name, location=where))
+    return table.select(
+        "offre_id",
+        "titre",
+        "entreprise_nom",
+        F.array_join("localisation_area", "|").alias("area"),
+        "salaire_min",
+        "salaire_est_estime",
+        "_ingestion_date",
+    )
+
+
+@query(
+    "load_france_travail",
+    f"""
+SELECT id, intitule, commune, salaire_libelle, {inputs.RUN_DATE_SQL} AS _ingestion_date
+FROM (SELECT * FROM france_travail JOIN hot_fetches ON event_id = sequence
+      QUALIFY row_number() OVER (PARTITION BY rome, departement ORDER BY sequence) <= 1150)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY sequence DESC) = 1""",
+)
+def load_france_travail(spark, sf):
+    """Offers of unevenly filled cells: each cell capped, the last fetch of an id kept."""
+    offers_seen = inputs.france_travail(spark, sf).drop("_ingestion_date")
+    cells = inputs.hot_fetches(spark, sf).drop("value")
+    rows = offers_seen.join(cells, F.col("event_id") == F.col("sequence")).drop("event_id")
+    path = _landed(spark, rows, "france_travail")
+    table = _raw(
+        spark,
+        "france_travail",
+        lambda name, where: landing.load_france_travail(spark, path, RUN_DATE, name, location=where),
+    )
+    return table.select(
+        "id",
+        "intitule",
+        F.col("lieuTravail.commune").alias("commune"),
+        F.col("salaire.libelle").alias("salaire_libelle"),
+        "_ingestion_date",
+    )
+
+
+@query(
+    "load_geo",
+    f"""
+SELECT 'communes' AS resource, code, nom, codeDepartement AS parent, population, {inputs.RUN_DATE_SQL} AS _ingestion_date
+FROM geo_communes
+UNION ALL SELECT 'departements', code, nom, codeRegion, NULL, {inputs.RUN_DATE_SQL} FROM geo_departements
+UNION ALL SELECT 'regions', code, nom, NULL, NULL, {inputs.RUN_DATE_SQL} FROM geo_regions""",
+)
+def load_geo(spark, sf):
+    sources = {
+        "communes": inputs.geo_communes(spark, sf).withColumn("surface", F.lit(1.0)),
+        "departements": inputs.geo_departements(spark, sf),
+        "regions": inputs.geo_regions(spark, sf),
+    }
+    paths = {name: _landed(spark, rows, name) for name, rows in sources.items()}
+    landing.load_geo(spark, paths, RUN_DATE, LAYER, root=working_folder(spark, "geo"))
+    parents = {"communes": F.col("codeDepartement"), "departements": F.col("codeRegion"), "regions": F.lit(None)}
+    loaded = [
+        spark.table(f"{LAYER}.geo_{name}").select(
+            F.lit(name).alias("resource"),
+            "code",
+            "nom",
+            parent.cast("string").alias("parent"),
+            (F.col("population") if name == "communes" else F.lit(None).cast("bigint")).alias("population"),
+            "_ingestion_date",
+        )
+        for name, parent in parents.items()
+    ]
+    return grid.concat_fetches(loaded)
+
+
+@query("load_urssaf_effectifs", f"SELECT *, {inputs.RUN_DATE_SQL} AS _ingestion_date FROM urssaf_long")
+def load_urssaf_effectifs(spark, sf):
+    path = _landed(spark, inputs.urssaf_wide(spark, sf), "urssaf_effectifs")
+    return _raw(
+        spark,
+        "urssaf_effectifs",
+        lambda name, where: landing.load_urssaf_effectifs(spark, path, inputs.YEARS, RUN_DATE, name, location=where),
+    )
+
+
+@query("load_urssaf_masse_salariale", f"SELECT *, {inputs.RUN_DATE_SQL} AS _ingestion_date FROM stg_payroll")
+def load_urssaf_masse_salariale(spark, sf):
+    path = _landed(spark, inputs.payroll(spark, sf), "urssaf_masse_salariale")
+    return _raw(
+        spark,
+        "urssaf_masse_salariale",
+        lambda name, where: landing.load_urssaf_masse_salariale(spark, path, RUN_DATE, name, location=where),
+    )
+
+
+@query("load_bmo", f"SELECT *, {inputs.RUN_DATE_SQL} AS _ingestion_date FROM bmo")
+def load_bmo(spark, sf):
+    """The survey loaded, then an empty one that leaves the table alone."""
+
+    def write(name: str, where: str) -> None:
+        survey = inputs.bmo_survey(spark, sf)
+        landing.load_bmo(survey, RUN_DATE, name, location=where)
+        landing.load_bmo(survey.filter(F.col("annee") == "none"), RUN_DATE, name, location=where)
+
+    return _raw(spark, "bmo", write)
+
+
+@query(
+    "load_sirene",
+    """
+SELECT kind, siret, etat FROM sirene, (SELECT unnest(['sirene_etablissement', 'sirene_unite_legale']) AS kind)""",
+)
+def load_sirene(spark, sf):
+    """Both register tables from Parquet, as no snapshot is recent."""
+    folder = working_folder(spark, "sirene")
+    sink.load_path(inputs.sirene(spark, sf), f"{folder}/stock.parquet")
+    tables = ["sirene_etablissement", "sirene_unite_legale"]
+    now = datetime.datetime.now(datetime.UTC)
+    paths = dict.fromkeys(tables, f"{folder}/stock.parquet")
+    landing.load_sirene(spark, paths, f"{folder}/snapshots", now, LAYER, root=f"{folder}/raw")
+    loaded = [
+        spark.table(f"{LAYER}.{name}").select(
+            F.lit(name).alias("kind"), "siret", F.col("etatAdministratifEtablissement").alias("etat")
+        )
+        for name in tables
+    ]
+    return grid.concat_fetches(loaded)
+
+
 # G: checks, one operator at a time and as declared on each table.
 
 

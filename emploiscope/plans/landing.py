@@ -151,12 +151,21 @@ def _append(rows: DataFrame, table: str, **target) -> None:
     sink.load_table(rows, table, "WRITE_APPEND", partition_by=[sink.INGESTION_DATE], **target)
 
 
-def load_geo(spark: SparkSession, paths: dict[str, str], run_date: datetime.date, layer: str = "raw", **target) -> None:
-    """Replace the three geographic tables; ``paths`` maps regions/departements/communes to files."""
+def load_geo(
+    spark: SparkSession, paths: dict[str, str], run_date: datetime.date, layer: str = "raw", root: str | None = None
+) -> None:
+    """Replace the three geographic tables; ``paths`` maps regions/departements/communes to files.
+
+    Tables go to folders of their name under ``root``, or to the layer's own folder.
+    """
     for resource in ("regions", "departements", "communes"):
-        schema = schemas.RAW_TABLES[f"geo_{resource}"]
-        rows = scan_json(spark, paths[resource], schema).drop(sink.INGESTION_DATE)
-        sink.load_table(sink.stamp(rows, run_date), f"{layer}.geo_{resource}", **target)
+        table = f"geo_{resource}"
+        rows = scan_json(spark, paths[resource], schemas.RAW_TABLES[table]).drop(sink.INGESTION_DATE)
+        sink.load_table(sink.stamp(rows, run_date), f"{layer}.{table}", location=_under(root, table))
+
+
+def _under(root: str | None, table: str) -> str | None:
+    return f"{root.rstrip('/')}/{table}" if root else None
 
 
 def load_urssaf_effectifs(
@@ -189,7 +198,12 @@ def load_bmo(survey: DataFrame, run_date: datetime.date, table: str = "raw.bmo",
 
 
 def load_sirene(
-    spark: SparkSession, paths: dict[str, str], snapshots: str, now: datetime.datetime, layer: str = "raw", **target
+    spark: SparkSession,
+    paths: dict[str, str],
+    snapshots: str,
+    now: datetime.datetime,
+    layer: str = "raw",
+    root: str | None = None,
 ) -> bool:
     """Replace both register tables from Parquet unless a recent snapshot is already landed.
 
@@ -198,5 +212,5 @@ def load_sirene(
     if should_skip(spark, snapshots, now):
         return False
     for table, path in paths.items():
-        sink.load_table(scan(spark, path), f"{layer}.{table}", **target)
+        sink.load_table(scan(spark, path), f"{layer}.{table}", location=_under(root, table))
     return True
