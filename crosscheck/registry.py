@@ -350,11 +350,7 @@ def c1(spark, sf):
         "props.k.deeper": "deeper",
         "event_type.name": "not_an_object",
     }
-    events = inputs.table(spark, sf, "events")
-    flat = [p for p in paths if p != "props.k.deeper"]
-    shallow = reshape.project_paths(events, {p: paths[p] for p in flat}, {"event_id": schemas.LONG})
-    deep = reshape.project_paths(events, {"event_id": "event_id", "props.k.deeper": "deeper"}, {"event_id": schemas.LONG})
-    return shallow.join(deep, "event_id")
+    return reshape.project_paths(inputs.table(spark, sf, "events"), paths, {"event_id": schemas.LONG})
 
 
 @query(

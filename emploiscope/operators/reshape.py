@@ -34,18 +34,27 @@ def project_paths(
     once. ``types`` names the target types of columns that are not text; the columns of
     ``keep`` stay as they are.
     """
+    def field(path: str) -> str:
+        """What is parsed for ``path``: its top-level field, once for all paths into it.
+
+        A path running through another path's leaf needs another shape and is parsed alone.
+        """
+        through_leaf = any("." in other and path.startswith(f"{other}.") for other in paths)
+        return path if through_leaf else path.split(".")[0]
+
     shapes: dict[str, StructType] = {}
     for path, target in paths.items():
-        root, *rest = path.split(".")
+        _, *rest = path.split(".")
         if rest:
             leaf = types.get(target, StringType())
-            shapes[root] = _with_leaf(shapes.get(root, StructType()), rest, leaf if isinstance(leaf, ArrayType) else StringType())
+            leaf = leaf if isinstance(leaf, ArrayType) else StringType()
+            shapes[field(path)] = _with_leaf(shapes.get(field(path), StructType()), rest, leaf)
     # With an option set, Spark keeps one parse per field instead of one per leaf.
-    parsed = {root: F.from_json(F.col(root), shape, {"mode": "PERMISSIVE"}) for root, shape in shapes.items()}
+    parsed = {name: F.from_json(F.col(name.split(".")[0]), shape, {"mode": "PERMISSIVE"}) for name, shape in shapes.items()}
 
     def value(path: str, target: str) -> Column:
         root, *rest = path.split(".")
-        column = parsed[root] if rest else F.col(root)
+        column = parsed[field(path)] if rest else F.col(root)
         for name in rest:
             column = column[name]
         dtype = types.get(target, StringType())

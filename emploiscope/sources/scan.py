@@ -46,20 +46,12 @@ def scan_json_text(spark: SparkSession, path: str, columns: Iterable[str]) -> Da
 def scan_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Newline JSON with explicit types: unknown fields dropped, missing ones NULL.
 
-    Quoted numbers are accepted (``"0"`` into an integer column); other text in a typed
-    column fails under ANSI mode.
+    Leaves are parsed as text and cast, in one pass, so quoted numbers are accepted
+    (``"0"`` into an integer column). Other text in a typed column fails under ANSI mode; so
+    do a line that is not JSON and a scalar where the schema has an object or an array.
     """
-    text = scan_json_text(spark, path, schema.fieldNames())
-    return text.select(*(_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema))
-
-
-def _typed(text: Column, dtype: DataType) -> Column:
-    if isinstance(dtype, StructType):
-        # Text that is no object is NULL, not an object of NULLs.
-        return F.when(text.startswith("{"), retype(F.from_json(text, _as_text(dtype)), dtype))
-    if isinstance(dtype, ArrayType):
-        return retype(F.from_json(text, _as_text(dtype)), dtype)
-    return text.cast(dtype)
+    text = spark.read.schema(_as_text(schema)).option("mode", "FAILFAST").json(path)
+    return text.select(*(retype(F.col(f.name), f.dataType).alias(f.name) for f in schema))
 
 
 def _as_text(dtype: DataType) -> DataType:

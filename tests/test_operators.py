@@ -177,12 +177,12 @@ def test_project_paths(spark):
         "a string, top string",
     ).coalesce(1)
     types = {"d": schemas.repeated(schemas.STRING), "c": schemas.LONG, "top": schemas.STRING}
-    got = reshape.project_paths(df, {"a.b.c": "c", "a.b.d": "d", "a.e": "e", "top": "top"}, types)
+    got = reshape.project_paths(df, {"a.b.c": "c", "a.b.d": "d", "a.b.c.x": "x", "a.e": "e", "top": "top"}, types)
     assert [tuple(r) for r in got.collect()] == [
-        (1, ["1", "2"], None, "plain"),
-        (None, None, None, None),
-        (None, None, None, "[1]"),
-        (None, None, None, "x"),
+        (1, ["1", "2"], None, None, "plain"),
+        (None, None, None, None, None),
+        (None, None, None, None, "[1]"),
+        (None, None, None, None, "x"),
     ]
 
 

@@ -70,7 +70,7 @@ def test_nested_schema(spark, tmp_path):
         "salaire": {"libelle": "x", "listeComplements": [{"libelle": "Prime", "code": 4}]},
         "competences": [{"code": 103, "libelle": "SQL"}, {"libelle": "Spark", "exigence": "E"}],
         "contexteTravail": {"horaires": ["35H"]},
-        "agence": "text instead of an object",
+        "agence": None,
         "unknown": {"a": 1},
     }
     df = scan(spark, write_lines(tmp_path / "ft.jsonl", offer), schemas.FRANCE_TRAVAIL)
@@ -85,6 +85,12 @@ def test_nested_schema(spark, tmp_path):
     assert row["contexteTravail"]["horaires"] == ["35H"]
 
 
+def test_a_scalar_is_no_record(spark, tmp_path):
+    path = write_lines(tmp_path / "ft.jsonl", {"id": "A1", "agence": "text instead of an object"})
+    with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED_RECORD"):
+        scan(spark, path, schemas.FRANCE_TRAVAIL).select("id", "agence").collect()
+
+
 @pytest.mark.parametrize("table", schemas.RAW_TABLES)
 def test_every_raw_schema_reads_an_empty_object(spark, tmp_path, table):
     schema = schemas.RAW_TABLES[table]
