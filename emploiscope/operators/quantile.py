@@ -18,17 +18,27 @@ def _bucket(value: Column) -> Column:
 
 
 def median_profile(
-    df: DataFrame, keys: Sequence[str], value: str, rows: str = "n_rows", valued: str = "n_values", median: str = "median"
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    rows: str = "n_rows",
+    valued: str = "n_values",
+    median: str = "median",
+    weight: str | None = None,
 ) -> DataFrame:
     """Per ``keys``: rows, rows with a non-NULL ``value``, and the exact median of those.
 
+    With ``weight``, a row of ``df`` stands for that many rows.
+
     Equal values are counted before anything is grouped by key, and that one table feeds
     the rest. Counts per value bucket (a bounded number per key) locate the one or two
     buckets holding the middle ranks; only the values of those buckets are sorted. No task
     ever holds a whole group.
     """
     number = F.col(value).cast("double").alias("_value")
-    counts = df.select(*keys, number).groupBy(*keys, "_value").agg(F.count("*").alias("_count"))
+    times = F.sum("_weight") if weight else F.count("*")
+    weights = [F.col(weight).alias("_weight")] if weight else []
+    counts = df.select(*keys, number, *weights).groupBy(*keys, "_value").agg(times.alias("_count"))
     counts = counts.withColumn("_bucket", _bucket(F.col("_value")))
 
     # Buckets in value order; rows without a value are the NULL bucket and get no rank.

@@ -44,12 +44,17 @@ def category_salaries(offers: DataFrame, category: str = "categorie_metier") ->
 def region_summary(offers: DataFrame) -> DataFrame:
     """[declared] Where, which companies, what pay: offers, companies and median salary by region.
 
-    Offers are reduced to (region, company) pairs first; what is then grouped by region is
-    one row per company. Offers without a region form the NULL row.
+    Offers are counted per region, company and salary first; that one table, read once from
+    the offers, gives the companies and the medians. Offers without a region form the NULL row.
     """
-    pairs = offers.select(F.col("nom_region").alias("_region"), "entreprise_nom").distinct()
-    companies = pairs.groupBy("_region").agg(F.count("entreprise_nom").alias("n_entreprises"))
-    pay = median_profile(offers, ["nom_region"], "salaire_annuel_milieu", "n_offres", "_priced", "salaire_annuel_median")
+    facts = offers.groupBy("nom_region", "entreprise_nom", "salaire_annuel_milieu").agg(F.count("*").alias("_offers"))
+    per_company = facts.groupBy(F.col("nom_region").alias("_region"), "entreprise_nom").agg(F.sum("_offers").alias("_n"))
+    companies = per_company.groupBy("_region").agg(
+        F.sum("_n").alias("n_offres"), F.count("entreprise_nom").alias("n_entreprises")
+    )
+    pay = median_profile(
+        facts, ["nom_region"], "salaire_annuel_milieu", median="salaire_annuel_median", weight="_offers"
+    )
     joined = pay.join(companies, F.col("nom_region").eqNullSafe(F.col("_region")))
     return joined.select("nom_region", "n_offres", "n_entreprises", "salaire_annuel_median")
 

@@ -230,6 +230,11 @@ def test_median_profile_matches_brute_force(spark, seed):
         assert got[key][2] == (median if median is None else pytest.approx(median, rel=1e-15, abs=0)), key
 
 
+def test_median_profile_with_weights(spark):
+    df = spark.createDataFrame([("a", 1.0, 5), ("a", 9.0, 2), ("a", None, 4), ("b", 2.0, 1), ("b", 4.0, 1)], "k string, v double, n int")
+    assert rows(median_profile(df, ["k"], "v", weight="n")) == [("a", 11, 7, 1.0), ("b", 2, 2, 3.0)]
+
+
 def test_median_profile_of_several_keys_and_no_rows(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 1, 7.0), ("a", 2, 1.0)], "k string, y int, v double")
     assert rows(median_profile(df, ["k", "y"], "v")) == [("a", 1, 2, 2, 6.0), ("a", 2, 1, 1, 1.0)]
