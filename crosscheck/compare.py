@@ -47,7 +47,8 @@ def differences(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str)
     wrong = {n: (t, types[n]) for n, t in df.dtypes if kinds.get(t) != types[n]}
     actual = _rows(df.columns, df.collect())
     if actual != expected:
-        extra, missing = [r for r in actual if r not in expected][:3], [r for r in expected if r not in actual][:3]
+        here, there = set(actual), set(expected)
+        extra, missing = sorted(here - there)[:3], sorted(there - here)[:3]
         return f"{len(actual)} rows against {len(expected)}; only here {extra}; only SQL {missing}"
     return f"types {wrong}" if wrong else ""
 

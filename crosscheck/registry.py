@@ -586,10 +586,17 @@ def d9(spark, sf):
     return _classified(spark, sf).select("redirect_url", "titre", "categorie_metier")
 
 
-@query("d9_job_category_texts", f"SELECT doc_id, {category_case('lower(text)')} AS categorie_metier FROM documents")
+@query(
+    "d9_job_category_texts",
+    f"""
+SELECT doc_id, {category_case("text")} AS categorie_metier
+FROM (SELECT doc_id, lower(concat_ws(' ', text, ({inputs.sql_list(inputs.TITLES)})[1 + doc_id % {len(inputs.TITLES)}])) AS text
+      FROM documents)""",
+)
 def d9_texts(spark, sf):
-    """The same patterns over whole documents."""
-    lowered = inputs.table(spark, sf, "documents").select("doc_id", titles.normalised_title(F.col("text")).alias("text"))
+    """The same patterns over whole documents, each with a title at its end."""
+    titled = F.concat_ws(" ", "text", inputs.pick(inputs.TITLES, F.col("doc_id") % len(inputs.TITLES)))
+    lowered = inputs.table(spark, sf, "documents").select("doc_id", titles.normalised_title(titled).alias("text"))
     return lowered.select("doc_id", titles.job_category(F.col("text")).alias("categorie_metier"))
 
 
