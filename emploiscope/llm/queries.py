@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
@@ -28,8 +29,8 @@ def ship_package(spark: SparkSession) -> None:
         for file in sorted(root.rglob("*.py")):
             z.write(file, file.relative_to(root.parent))
     context.addPyFile(archive)
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)  # executors fetch it from here
     _shipped.add(context.applicationId)
-    shutil.rmtree(folder, ignore_errors=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
