@@ -10,9 +10,10 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import jaccard_join
+from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp
 
 _shipped: set[str] = set()
 
@@ -38,14 +39,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A public tokenizer's file; the same on the executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of nearly equal bytes."""
+    return karmarkar_karp.shard_documents(table(spark, sf_dir, "documents"), shards=24)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the class of their similar documents: five words, Jaccard 0.8."""
     found = jaccard_join.similar_documents(table(spark, sf_dir, "documents"), size=5, percent=80)
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of benchmark words per document: windows of 13 words, contaminated from one word in twenty."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op10_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as Arrow files and read back."""
+    manifest = arrow_tokens.write_sequences(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return arrow_tokens.document_digests(manifest)
+
+
 QUERIES = {
+    "op2_karmarkar_karp_shards": op2_karmarkar_karp_shards,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_arrow_sequences": op10_arrow_sequences,
 }
 
 ORACLES: dict[str, str] = {}
