@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp
+from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, line_rules, sql
 
 _shipped: set[str] = set()
 
@@ -46,6 +46,11 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of every document and the verdict after boilerplate lines of its source."""
+    return line_rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of nearly equal bytes."""
     return karmarkar_karp.shard_documents(table(spark, sf_dir, "documents"), shards=24)
@@ -71,10 +76,15 @@ def op10_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_rules": op1_line_rules,
     "op2_karmarkar_karp_shards": op2_karmarkar_karp_shards,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_arrow_sequences": op10_arrow_sequences,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_line_rules": sql.LINE_RULES,
+    "op5_ngram_jaccard_join": sql.JACCARD,
+    "op8_benchmark_decontamination": sql.DECONTAMINATION,
+}
