@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, line_rules, sql
+from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, language_id, line_rules, sql
 
 _shipped: set[str] = set()
 
@@ -69,6 +69,15 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op9_unigram_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, over the pieces of a public vocabulary."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    return language_id.identify_languages(table(spark, sf_dir, "documents"), pieces)
+
+
 def op10_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as Arrow files and read back."""
     manifest = arrow_tokens.write_sequences(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -80,6 +89,7 @@ QUERIES = {
     "op2_karmarkar_karp_shards": op2_karmarkar_karp_shards,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_unigram_language_id": op9_unigram_language_id,
     "op10_arrow_sequences": op10_arrow_sequences,
 }
 
