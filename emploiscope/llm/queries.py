@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, language_id, line_rules, sql
+from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, language_id, line_rules, sql, temperature_mix
 
 _shipped: set[str] = set()
 
@@ -56,6 +56,11 @@ def op2_karmarkar_karp_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return karmarkar_karp.shard_documents(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every use of every document in a mixture of all sources."""
+    return temperature_mix.mix_sources(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the class of their similar documents: five words, Jaccard 0.8."""
     found = jaccard_join.similar_documents(table(spark, sf_dir, "documents"), size=5, percent=80)
@@ -87,6 +92,7 @@ def op10_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_rules": op1_line_rules,
     "op2_karmarkar_karp_shards": op2_karmarkar_karp_shards,
+    "op3_temperature_mix": op3_temperature_mix,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_unigram_language_id": op9_unigram_language_id,
@@ -95,6 +101,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_line_rules": sql.LINE_RULES,
+    "op3_temperature_mix": sql.TEMPERATURE_MIX,
     "op5_ngram_jaccard_join": sql.JACCARD,
     "op8_benchmark_decontamination": sql.DECONTAMINATION,
 }

@@ -92,3 +92,68 @@ WITH RECURSIVE docs AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
 """
+
+TEMPERATURE_MIX = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, coalesce('=' || source, '') AS key, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n_tokens,
+           concat(coalesce(CAST(doc_id AS VARCHAR), ''), '/', md5(coalesce(text, ''))) AS doc_key
+    FROM documents
+), sources AS (
+    SELECT key, CAST(sum(n_tokens) AS BIGINT) AS tokens, count(*) AS documents FROM docs GROUP BY key
+), whole AS (
+    SELECT list(CAST(tokens AS DOUBLE) ORDER BY key) AS each, CAST(sum(tokens) AS DOUBLE) AS total, CAST(max(tokens) AS DOUBLE) AS largest,
+           CAST(min(tokens) AS DOUBLE) AS smallest, count(*) AS n, ln(CAST(sum(tokens) AS DOUBLE)) - sum(tokens * ln(tokens)) / CAST(sum(tokens) AS DOUBLE) AS natural_entropy
+    FROM sources WHERE tokens > 0
+), by_entropy AS (
+    SELECT 0 AS low, 1000000 AS high
+    UNION ALL
+    SELECT CASE WHEN reached THEN middle ELSE low END, CASE WHEN reached THEN high ELSE middle END
+    FROM (
+        SELECT low, high, middle,
+               ln(list_sum(list_transform(each, lambda x: pow(x / total, middle / 1000000.0))))
+               - list_sum(list_transform(each, lambda x: pow(x / total, middle / 1000000.0) * ln(pow(x / total, middle / 1000000.0))))
+               / list_sum(list_transform(each, lambda x: pow(x / total, middle / 1000000.0))) >= 0.999 * ln(n) AS reached
+        FROM (SELECT low, high, (low + high) // 2 AS middle FROM by_entropy WHERE high - low > 1), whole
+    )
+), by_repeats AS (
+    SELECT 0 AS low, 1000000 AS high
+    UNION ALL
+    SELECT CASE WHEN too_many THEN middle ELSE low END, CASE WHEN too_many THEN high ELSE middle END
+    FROM (
+        SELECT low, high, middle, pow(largest / smallest, 1 - middle / 1000000.0) > 1.5 AS too_many
+        FROM (SELECT low, high, (low + high) // 2 AS middle FROM by_repeats WHERE high - low > 1), whole
+    )
+), chosen AS (
+    SELECT CASE WHEN n = 1 OR natural_entropy >= 0.999 * ln(n) THEN 1.0
+        ELSE greatest((SELECT max(low) FROM by_entropy), CASE WHEN largest / smallest <= 1.5 THEN 0 ELSE (SELECT max(low) FROM by_repeats) + 1 END) / 1000000.0 END AS exponent, largest
+    FROM whole
+), budgets AS (
+    SELECT key, tokens, documents, exponent,
+           greatest(tokens, CASE WHEN tokens > 0 THEN CAST(floor(tokens * pow(largest / tokens, 1 - exponent) + 1e-6) AS BIGINT) ELSE 0 END) AS budget
+    FROM sources, (SELECT CAST(exponent AS DOUBLE) AS exponent, largest FROM chosen)
+), plan AS (
+    SELECT *, greatest(1, CAST(ceil(greatest(tokens, documents) / 50000) AS BIGINT)) AS blocks,
+           CASE WHEN tokens > 0 THEN CAST(ceil(budget / tokens) AS INTEGER) ELSE 1 END AS passes
+    FROM budgets
+), housed AS (
+    SELECT docs.*, ('0x' || substr(md5(concat('mix/', doc_key)), 1, 8))::BIGINT % blocks AS home FROM docs JOIN plan USING (key)
+), filled AS (
+    SELECT key, home, sum(n_tokens) AS held FROM housed GROUP BY key, home
+), ordered AS (
+    SELECT key, home, epoch, exponent, budget - epoch * tokens AS left_over, held,
+           ('0x' || substr(md5(concat('mix/block/', key, '/', epoch, '/', home)), 1, 8))::BIGINT AS draw
+    FROM (SELECT *, unnest(range(passes)) AS epoch FROM filled JOIN plan USING (key))
+), placed AS (
+    SELECT key, home, epoch, exponent, row_number() OVER w - 1 AS block,
+           left_over - coalesce(sum(held) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room
+    FROM ordered WINDOW w AS (PARTITION BY key, epoch ORDER BY draw, home)
+), used AS (
+    SELECT doc_id, key, n_tokens, epoch, block, room, exponent, row_number() OVER w - 1 AS slot,
+           coalesce(sum(n_tokens) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
+    FROM housed JOIN placed USING (key, home)
+    WINDOW w AS (PARTITION BY key, home, epoch ORDER BY ('0x' || substr(md5(concat('mix/', epoch, '/', doc_key)), 1, 8))::BIGINT, doc_key)
+)
+SELECT doc_id, CASE WHEN key <> '' THEN substr(key, 2) END AS source, n_tokens, CAST(epoch AS INTEGER) AS epoch, CAST(block AS INTEGER) AS block,
+       CAST(slot AS INTEGER) AS slot, exponent
+FROM used WHERE epoch = 0 OR (room > 0 AND so_far < room)
+"""
