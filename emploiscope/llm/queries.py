@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, language_id, line_rules, sql, temperature_mix
+from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, language_id, line_rules, secret_forest, sql, temperature_mix
 
 _shipped: set[str] = set()
 
@@ -61,6 +61,11 @@ def op3_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return temperature_mix.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op4_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in the documents, with the forest's verdict."""
+    return secret_forest.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the class of their similar documents: five words, Jaccard 0.8."""
     found = jaccard_join.similar_documents(table(spark, sf_dir, "documents"), size=5, percent=80)
@@ -93,6 +98,7 @@ QUERIES = {
     "op1_line_rules": op1_line_rules,
     "op2_karmarkar_karp_shards": op2_karmarkar_karp_shards,
     "op3_temperature_mix": op3_temperature_mix,
+    "op4_secret_forest": op4_secret_forest,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_unigram_language_id": op9_unigram_language_id,
