@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, secret_forest, sql, temperature_mix
+from emploiscope.llm import arrow_tokens, decontaminate, dom_boost, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, secret_forest, sql, temperature_mix
 
 _shipped: set[str] = set()
 
@@ -72,6 +72,11 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_dom_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return dom_boost.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document, and the licence sentences they were found by."""
     found = license_rules.scan_licenses(table(spark, sf_dir, "documents"))
@@ -106,6 +111,7 @@ QUERIES = {
     "op3_temperature_mix": op3_temperature_mix,
     "op4_secret_forest": op4_secret_forest,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_dom_boost": op6_dom_boost,
     "op7_license_rules": op7_license_rules,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_unigram_language_id": op9_unigram_language_id,
