@@ -6,8 +6,9 @@ it. A partner with similarity t or more occurs in at least T = ceil(t * n) of a
 The lists are divided:
 
 * *Short lists* (at most ``LONG`` documents) are merged: sorted by shingle in the shuffle, each is
-  read once, and every pair in it is a candidate, because it occurs in T - L = 1 of the
-  n - L short lists needed, L = T - 1 being the most lists that may be left aside.
+  read once, and the occurrences of every pair in it are counted. A pair stays a candidate while
+  its count, with the L long lists that both have added, can reach T (T - L occurrences in short
+  lists are required).
 * *Long lists* (hot passages, large groups of near copies) are never merged into pairs. They are
   skipped by every document whose short lists suffice, and their shingles are looked up by binary
   search in the candidate's sorted shingles.
@@ -17,17 +18,19 @@ shingles (short lists before long ones) holding for all. The first round therefo
 shingles below a fixed share of the hash range. Documents with too few short lists there, and so
 with partners only among each other, go through a second round that lists all their shingles.
 Documents that are still short of lists consist of hot text for more than 1 - t; they keep their
-rarest long lists, up to the number needed. Such a list compares everybody with a few pivots, joins
-what is linked, and compares across classes only the members that are still apart.
+rarest long lists, up to the number needed. Such a list compares everybody with a few pivots and joins
+what is linked. Members that are then still outside their list's largest class are few; they become
+a query set that is searched for, in blocks of bounded size, among all members of such lists.
 
 Equal sets are one record throughout, so exact copies cost one row each. Results do not depend on
-``LONG``, ``LISTED``, ``PIVOTS`` or ``BROADCAST_IDS``; they set only the work.
+``LONG``, ``LISTED``, ``PIVOTS``, ``BROADCAST_IDS`` or ``BLOCK_SHINGLES``; they set only the work.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +39,13 @@ from pyspark.sql import functions as F
 
 from emploiscope.llm.components import components
 from emploiscope.llm.text import SPACED, U, blocks, mix, shingle_sets, words
-from emploiscope.llm.workspace import Workspace, shuffle_partitions
+from emploiscope.llm.workspace import Workspace, shuffle_partitions, without
 
 LONG = 16
 LISTED = 0.3
 PIVOTS = 4
 BROADCAST_IDS = 500_000
+BLOCK_SHINGLES = 4_000_000
 
 _POSTED = "bucket int, doc_id bigint, n bigint, listed bigint, record bigint, shingles binary, records binary"
 _MERGED = "kind int, doc_id bigint, n bigint, listed bigint, a bigint, b bigint"
@@ -140,18 +144,25 @@ def _merge_lists(batches: Iterator[pa.RecordBatch], last: np.uint64) -> Iterator
     shingle, owner = shingle[new], owner[new]
     starts = np.flatnonzero(np.diff(shingle, prepend=~shingle[:1]))
     lengths = np.diff(starts, append=len(shingle))
-    pairs = []
+    found, counts = [], []
     for length in range(2, LONG + 1):
         of = starts[lengths == length]
         if len(of):
+            # Near copies have many equal lists. Records ascend inside a list, so a < b.
+            lists, which = np.unique(owner[of[:, None] + np.arange(length)], axis=0, return_inverse=True)
+            times = np.bincount(which.ravel(), weights=shingle[of] <= last).astype(np.int64)
             i, j = np.triu_indices(length, 1)
-            # The record order inside a list is ascending, so a < b.
-            members = owner[of[:, None] + np.arange(length)]
-            pairs.append(np.unique(np.stack([members[:, i].ravel(), members[:, j].ravel()], axis=1), axis=0) if length < 4 else _distinct_pairs(members, i, j))
-    if pairs:
-        pairs = np.unique(np.concatenate(pairs), axis=0)
+            found.append(np.stack([lists[:, i].ravel(), lists[:, j].ravel()], axis=1))
+            counts.append(np.repeat(times, len(i)))
+    if found:
+        pairs, times = np.concatenate(found), np.concatenate(counts)
+        order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+        pairs, times = pairs[order], times[order]
+        first = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)]))
+        pairs, times = pairs[first], np.add.reduceat(times, first)
         for low in range(0, len(pairs), 100_000):
-            yield _merged_batch(_PAIR, a=pairs[low : low + 100_000, 0], b=pairs[low : low + 100_000, 1])
+            part = slice(low, low + 100_000)
+            yield _merged_batch(_PAIR, a=pairs[part, 0], b=pairs[part, 1], n=times[part])
     for start, length in zip(starts[lengths > LONG].tolist(), lengths[lengths > LONG].tolist(), strict=True):
         for low in range(start, start + length, 100_000):
             high = min(low + 100_000, start + length)
@@ -159,12 +170,6 @@ def _merge_lists(batches: Iterator[pa.RecordBatch], last: np.uint64) -> Iterator
             yield _merged_batch(_LONG_LIST, a=shingle[low:high].view(np.int64), b=owner[low:high], listed=listed, n=np.full(high - low, length))
 
 
-def _distinct_pairs(members: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Pairs of lists of one length; equal lists, as near copies have, count once."""
-    members = np.unique(members, axis=0)
-    return np.stack([members[:, i].ravel(), members[:, j].ravel()], axis=1)
-
-
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,6 +183,55 @@ def _sets(size: int):
     return run
 
 
+def _own_sets(size: int):
+    """The shingles of the rows whose text is the record they are joined with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            records, classes = batch.column("record").to_pylist(), batch.column("class").to_pylist()
+            rows = [(r, c, x.tobytes()) for r, c, x in zip(records, classes, _sets_of(batch, size), strict=True) if record_id(x) == r]
+            types = (pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([row[k] for row in rows], t) for k, t in enumerate(types)], names=["record", "class", "shingles"])
+
+    return run
+
+
+def _sets_of(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
+    for _, _, data, offsets in blocks(batch.column("text")):
+        yield from shingle_sets(words(data, offsets, SPACED), size)
+
+
+def _search(queries: dict[int, tuple[int, np.ndarray]], size: int, percent: int):
+    """Counts, for every text, its occurrences in the inverted lists of the queries; one link to each other class is enough."""
+    names = np.array(list(queries), dtype=np.int64)
+    classes = np.array([c for c, _ in queries.values()], dtype=np.int64)
+    sizes = np.array([len(x) for _, x in queries.values()], dtype=np.int64)
+    shingle = np.concatenate([x for _, x in queries.values()])
+    owner = np.repeat(np.arange(len(names), dtype=np.int32), sizes)
+    order = np.argsort(shingle, kind="stable")
+    shingle, owner = shingle[order], owner[order]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a: list[int] = []
+            b: list[int] = []
+            for record, own, x in zip(batch.column("record").to_pylist(), batch.column("class").to_pylist(), _sets_of(batch, size), strict=True):
+                low, high = np.searchsorted(shingle, x), np.searchsorted(shingle, x, side="right")
+                lengths = high - low
+                if not lengths.any() or record_id(x) != record:
+                    continue
+                at = np.repeat(low - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+                times = np.bincount(owner[at], minlength=len(names))
+                linked = np.flatnonzero((times * (100 + percent) >= percent * (sizes + len(x))) & (classes != own))
+                if len(linked):
+                    linked = linked[np.unique(classes[linked], return_index=True)[1]]
+                    a += [record] * len(linked)
+                    b += names[linked].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
 def occurrences(query: np.ndarray, candidate: np.ndarray, required: int) -> int:
     """How many of the query's shingles occur in the candidate, or less than ``required`` if that can't be reached.
 
@@ -250,15 +304,34 @@ class _Join:
 
     @staticmethod
     def short(merged: DataFrame) -> DataFrame:
-        return merged.filter(F.col("kind") == _PAIR).select("a", "b")
+        """Pairs of the short lists and in how many of them both occur, bucket by bucket."""
+        return merged.filter(F.col("kind") == _PAIR).select("a", "b", F.col("n").alias("times"))
 
-    def short_of_lists(self, merged: DataFrame, listed: str) -> tuple[DataFrame, DataFrame]:
-        """Records with fewer short lists than they need and how many long ones they must keep; all long lists."""
+    def long_lists(self, merged: DataFrame, listed: str) -> tuple[DataFrame, DataFrame]:
+        """The long lists; every record's lists and how many of them are long."""
         long = merged.filter(F.col("kind") == _LONG_LIST).select(F.col("a").alias("shingle"), F.col("b").alias("record"), "listed", F.col("n").alias("length"))
         skipped = long.groupBy("record").agg(F.sum("listed").alias("skipped"))
-        lacking = F.expr(f"n - (n * {self.percent} + 99) div 100 + 1 - ({listed} - skipped)")
-        lacking = self.records.join(skipped, "record").select("record", "doc_id", lacking.alias("lacking")).filter("lacking > 0")
-        return self.work.save(lacking, "lacking"), long
+        skipped = F.broadcast(skipped) if skipped.count() <= BROADCAST_IDS else skipped
+        skips = self.records.select("record", "doc_id", "n", F.expr(listed).alias("listed")).join(skipped, "record", "left")
+        return long, self.work.save(skips.withColumn("skipped", F.coalesce("skipped", F.lit(0))), "skips")
+
+    def lacking(self, skips: DataFrame) -> DataFrame:
+        """Records with fewer short lists than they need, and how many long ones they must keep."""
+        lacking = F.expr(f"n - (n * {self.percent} + 99) div 100 + 1 - (listed - skipped)")
+        return skips.filter("skipped > 0").select("record", "doc_id", lacking.alias("lacking"), F.expr("n - skipped").alias("private")).filter("lacking > 0")
+
+    def reaching(self, pairs: DataFrame, skips: DataFrame) -> DataFrame:
+        """The pairs whose sizes and occurrences allow the required overlap.
+
+        T is the overlap required of the pair. A record may miss n - T of its shingles, so at least
+        listed - (n - T) of those listed must occur in the other, in short lists or in long ones.
+        """
+        of = {x: skips.select(F.col("record").alias(x), *[F.col(c).alias(c + x) for c in ("n", "listed", "skipped")]) for x in "ab"}
+        counted = pairs.groupBy("a", "b").agg(F.sum("times").alias("times")).join(of["a"], "a").join(of["b"], "b")
+        required = F.expr(f"({self.percent} * (na + nb) + {99 + self.percent}) div {100 + self.percent}")
+        counted = counted.withColumn("required", required).filter("required <= least(na, nb)")
+        enough = "times + least(skippeda, skippedb) >= required + greatest(listeda - na, listedb - nb)"
+        return counted.filter(enough).select("a", "b")
 
     def of_ids(self, ids: DataFrame) -> DataFrame:
         """The documents with a doc_id of the saved table ``ids``, which is broadcast only while it is small."""
@@ -267,30 +340,32 @@ class _Join:
         return self.docs.join(ids, "doc_id", "left_semi")
 
     def candidates(self) -> tuple[DataFrame, DataFrame]:
-        """Pairs of the short lists; the long lists that can't be skipped."""
+        """Pairs of the short lists and of pivots; the long lists that can't be skipped."""
         first = self.lists(self.docs, LISTED)
         self.members_and_records(first)
-        lacking, _ = self.short_of_lists(first, "listed")
-        second = self.lists(self.of_ids(self.work.save(lacking.select("doc_id").distinct(), "ids")), 1.0)
-        lacking, long = self.short_of_lists(second, "n")
+        _, skips = self.long_lists(first, "listed")
+        pairs = self.reaching(self.short(first), skips)
+        lacking = self.work.save(self.lacking(skips).select("doc_id").distinct(), "lacking")
+        second = self.lists(self.of_ids(lacking), 1.0)
+        long, skips = self.long_lists(second, "n")
         rarest = Window.partitionBy("record").orderBy("length", "shingle")
-        kept = long.join(lacking, "record").withColumn("rank", F.row_number().over(rarest)).filter("rank <= lacking")
-        return self.short(first).union(self.short(second)), self.work.save(kept.select("shingle", "record"), "long")
+        kept = long.join(self.lacking(skips), "record").withColumn("rank", F.row_number().over(rarest)).filter("rank <= lacking")
+        kept = self.work.save(kept.select("shingle", "record", "private"), "long")
+        more = self.short(second).union(self.pivots(kept).withColumn("times", F.lit(0).cast("bigint")))
+        return pairs.union(self.reaching(more, skips)).distinct(), kept
 
     def pivots(self, lists: DataFrame) -> DataFrame:
-        """Every member of a list with a few members of that list."""
-        chosen = [F.min_by("record", F.xxhash64("record", F.lit(k))).alias(f"p{k}") for k in range(PIVOTS)]
-        pivots = lists.groupBy("shingle").agg(*chosen)
-        pairs = lists.join(pivots, "shingle").select("record", F.explode(F.array(*[f"p{k}" for k in range(PIVOTS)])).alias("pivot"))
+        """Every member of a list with a few members of that list, the first being the one with the fewest shingles of its own."""
+        central = F.min_by("record", F.struct("private", F.xxhash64("record"))).alias("p0")
+        chosen = [F.min_by("record", F.xxhash64("record", F.lit(k))).alias(f"p{k}") for k in range(1, PIVOTS)]
+        pivots = lists.groupBy("shingle").agg(central, *chosen)
+        pairs = lists.join(pivots, "shingle").select("record", F.explode(F.array_distinct(F.array(*[f"p{k}" for k in range(PIVOTS)]))).alias("pivot"))
         return pairs.filter("record <> pivot").select(F.least("record", "pivot").alias("a"), F.greatest("record", "pivot").alias("b")).distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The candidate pairs that are similar enough."""
-        sizes = self.records.select("record", "n", "doc_id")
-        sized = pairs.join(sizes.select(F.col("record").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("record").alias("b"), F.col("n").alias("nb")), "b")
-        fitting = f"100 * least(na, nb) >= {self.percent} * greatest(na, nb)"
-        pairs = self.work.save(sized.filter(fitting).select("a", "b"), "candidates")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("record")).distinct().join(sizes, "record").select("doc_id").distinct()
+        pairs = self.work.save(pairs, "candidates")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("record")).distinct().join(self.records, "record").select("doc_id").distinct()
         texts = self.of_ids(self.work.save(wanted, "wanted")).select("text")
         sets = self.work.save(texts.mapInArrow(_sets(self.size), "record bigint, shingles binary").dropDuplicates(["record"]), "sets")
         left = sets.select(F.col("record").alias("a"), F.col("shingles").alias("left"))
@@ -299,25 +374,39 @@ class _Join:
         return self.work.save(both.mapInArrow(_verify(self.percent), "a bigint, b bigint"), "links")
 
     def apart(self, lists: DataFrame, classes: DataFrame) -> DataFrame:
-        """Pairs of a list's members that are in different classes, one of them outside the list's largest class."""
+        """``record, class, outside``: members of lists with several classes, and whether they are outside a list's largest."""
         member = lists.join(classes.withColumnRenamed("node", "record"), "record", "left")
         member = self.work.save(member.select("shingle", "record", F.coalesce("component", "record").alias("class")), "classes")
         counts = member.groupBy("shingle", "class").agg(F.count("*").alias("n"))
         largest = counts.groupBy("shingle").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), F.count("*").alias("classes"))
-        mixed = largest.filter("classes > 1").select("shingle", "largest")
-        member = self.work.save(member.join(mixed, "shingle"), "mixed")
-        outside = member.filter("class <> largest").select("shingle", F.col("record").alias("a"), F.col("class").alias("ca"))
-        every = member.select("shingle", F.col("record").alias("b"), F.col("class").alias("cb"))
-        pairs = outside.join(every, "shingle").filter("ca <> cb")
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        mixed = member.join(largest.filter("classes > 1"), "shingle")
+        apart = mixed.groupBy("record", "class").agg(F.max(F.col("class") != F.col("largest")).alias("outside"))
+        return self.work.save(apart.join(self.records.select("record", "doc_id", "n"), "record"), "apart")
+
+    def search(self, apart: DataFrame) -> DataFrame | None:
+        """Links between records outside their list's largest class and records of other classes."""
+        outside = apart.filter("outside")
+        held = outside.agg(F.sum("n")).head()[0]
+        if not held:
+            return None
+        every = self.work.save(apart.select("doc_id", "record", "class").distinct(), "searched")
+        texts = self.docs.join(F.broadcast(every) if every.count() <= BROADCAST_IDS else every, "doc_id")
+        parts, found = -(-held // BLOCK_SHINGLES), []
+        for part in range(parts):
+            block = outside.filter(F.pmod(F.xxhash64("record"), F.lit(parts)) == part).select("doc_id", "record", "class")
+            queries = self.docs.join(F.broadcast(block), "doc_id").mapInArrow(_own_sets(self.size), "record bigint, class bigint, shingles binary")
+            queries = {r["record"]: (r["class"], np.frombuffer(r["shingles"], dtype=np.uint64)) for r in queries.collect()}
+            links = texts.mapInArrow(_search(queries, self.size, self.percent), "a bigint, b bigint")
+            found.append(self.work.save(links, "more-links"))
+        return reduce(DataFrame.union, found)
 
     def run(self) -> DataFrame:
-        short, lists = self.candidates()
-        links = self.links(short.union(self.pivots(lists)).distinct())
+        pairs, lists = self.candidates()
+        links = self.links(pairs)
         classes = components(links, self.work)
-        rest = self.work.save(self.apart(lists, classes), "apart")
-        if not rest.isEmpty():
-            links = links.union(self.links(rest))
+        more = self.search(self.apart(lists, classes))
+        if more is not None:
+            links = links.union(more)
             classes = components(links, self.work)
         return self.result(links, classes)
 
@@ -344,3 +433,22 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
     another id. Other columns are ignored. An empty table gives an empty table.
     """
     return _Join(docs, size, percent).run()
+
+
+def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of every class of similar ones: the one with the smallest doc_id.
+
+    Rows that repeat a doc_id and its text count as copies of each other. Rows without doc_id are
+    kept; rows that share a doc_id but not a text are kept if one of them is.
+    """
+    work = Workspace(docs.sparkSession, "deduplicate")
+    found = work.save(similar_documents(docs, size, percent).select("doc_id", "component_id"), "classes")
+    first = found.filter("doc_id = component_id").select("doc_id").distinct()
+    dropped = work.save(found.filter("doc_id <> component_id").select("doc_id").distinct().join(first, "doc_id", "left_anti"), "dropped")
+    kept = without(docs, dropped, "doc_id")
+    repeated = work.save(found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    once = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
+    again = kept.join(repeated, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(once)).filter("_copy = 1").drop("_copy")
+    return without(kept, repeated, "doc_id").unionByName(again)

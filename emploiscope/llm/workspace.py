@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -44,3 +45,13 @@ class Workspace:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+# Keys up to this number are sent to every task: at most some tens of megabytes.
+BROADCAST_KEYS = 500_000
+
+
+def without(docs: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of ``docs`` whose ``on`` is not in the saved table ``keys``; few keys are broadcast, many are joined by shuffle."""
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    return docs.join(keys, on, "left_anti")
