@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emploiscope.llm.text import ALPHANUMERIC, LOWER, Words, blocks, windows, words
-from emploiscope.llm.workspace import Workspace
+from emploiscope.llm.workspace import Workspace, without
 
 WINDOW = 13
 SHINGLE = 5
@@ -202,3 +202,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     are ignored; empty tables give no hits or no rows.
     """
     return Decontamination(docs, benchmark).report()
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not contaminated, with all their columns."""
+    found = Decontamination(docs, benchmark)
+    bad = found.report().filter("contaminated").select("doc_id").distinct()
+    return without(docs, found.work.save(bad, "contaminated"), "doc_id")

@@ -179,7 +179,8 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         counts: Counter = Counter()
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            counts.update((lang, word) for word in letters(text))
+            # Once per text, so that no long text stands for its language.
+            counts.update((lang, word) for word in set(letters(text)))
         yield pd.DataFrame([(a, b, n) for (a, b), n in counts.items()], columns=["lang", "word", "n"])
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emploiscope.llm.workspace import Workspace
+from emploiscope.llm.workspace import Workspace, without
 
 WHITE = " \t\n\x0b\x0c\r"
 WHITE_RUN = "[ \t\n\x0b\x0c\r]+"
@@ -28,6 +28,12 @@ MIN_KEPT_PERCENT = 50
 BROADCAST_LINES = 200_000
 
 
+def _key() -> F.Column:
+    """Equal for equal rows: doc_id, source and text."""
+    parts = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce(F.col("source").cast("string"), F.lit("\x01")), F.coalesce(F.col("text").cast("string"), F.lit(""))]
+    return F.md5(F.concat_ws("\x00", *parts).cast("binary"))
+
+
 def _measures(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.btrim(line, F.lit(WHITE)) != "")
@@ -36,7 +42,7 @@ def _measures(docs: DataFrame) -> DataFrame:
         # Rows without a source form a host of their own.
         F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("host"),
         F.md5(text.cast("binary")).alias("content"),
-        F.md5(F.concat_ws("\x00", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("source", F.lit("\x01")), text).cast("binary")).alias("key"),
+        _key().alias("key"),
         F.char_length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")).cast("bigint").alias("n_symbols"),
         lines.alias("lines"),
     )
@@ -86,6 +92,13 @@ def _boilerplate(measured: DataFrame, work: Workspace) -> DataFrame:
     return work.save(over.select("host", "hash", F.col("n").alias("n_documents")), "boilerplate")
 
 
+def keep_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``judge_documents`` keeps, with all their columns and texts as they are."""
+    work = Workspace(docs.sparkSession, "line-rules")
+    rejected = work.save(_judged(docs, work).filter("not kept").select(F.col("key").alias("_row_key")).distinct(), "rejected")
+    return without(docs.withColumn("_row_key", _key()), rejected, "_row_key").drop("_row_key")
+
+
 def judge_documents(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs(doc_id, text, source)``.
 
@@ -100,7 +113,10 @@ def judge_documents(docs: DataFrame) -> DataFrame:
     Repeated rows are judged alike and each kept as a row; equal texts of a source count as one
     document. Null doc_ids are carried. Other columns are ignored; an empty table gives none.
     """
-    work = Workspace(docs.sparkSession, "line-rules")
+    return _judged(docs, Workspace(docs.sparkSession, "line-rules")).drop("key")
+
+
+def _judged(docs: DataFrame, work: Workspace) -> DataFrame:
     measured = work.save(_measures(docs), "measures")
     over = _boilerplate(measured, work)
     if over.count() <= BROADCAST_LINES:
@@ -112,5 +128,5 @@ def judge_documents(docs: DataFrame) -> DataFrame:
     out = out.withColumn("n_kept_words", F.col("n_words") - F.coalesce("removed", F.lit(0)))
     depleted = (F.col("n_kept_words") < MIN_WORDS) | (F.col("n_kept_words") * 100 < F.col("n_words") * MIN_KEPT_PERCENT)
     return out.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~depleted).alias("kept"), "n_kept_words"
+        "key", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & ~depleted).alias("kept"), "n_kept_words"
     )

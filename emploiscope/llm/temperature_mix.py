@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emploiscope.llm.workspace import Workspace
+from emploiscope.llm.workspace import BROADCAST_KEYS, Workspace
 
 ENTROPY_SHARE = 0.999
 MAX_REPEATS = 1.5
@@ -37,6 +37,11 @@ class Target:
     max_repeats: float = MAX_REPEATS
 
 
+def _doc_key() -> F.Column:
+    content = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    return F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), content)
+
+
 def _hash(*parts) -> F.Column:
     """A number below 2**32 from the texts of the parts."""
     return F.conv(F.substring(F.md5(F.concat_ws("/", *parts).cast("binary")), 1, 8), 16, 10).cast("bigint")
@@ -97,6 +102,22 @@ def find_exponent(sources: DataFrame, target: Target) -> float:
     return max(by_entropy, allowed) / one
 
 
+def mixed_documents(docs: DataFrame, target: Target | None = None, seed: str = "mix") -> DataFrame:
+    """``docs`` with every row as often as the mixture uses it, columns as they are; no order is implied.
+
+    Texts are not shuffled while the rows used more than once are few. Rows that repeat a doc_id
+    and its text share their uses evenly, rounded up.
+    """
+    work = Workspace(docs.sparkSession, "mixed")
+    used = _uses(docs, target, seed, ()).groupBy("doc_key").agg(F.count("*").alias("uses"), F.count_if(F.col("epoch") == 0).alias("copies"))
+    more = used.select(F.col("doc_key").alias("_doc_key"), F.ceil(F.col("uses") / F.col("copies")).cast("int").alias("_times")).filter("_times > 1")
+    more = work.save(more, "used-again")
+    more = F.broadcast(more) if more.count() <= BROADCAST_KEYS else more
+    every = docs.withColumn("_doc_key", _doc_key()).join(more, "_doc_key", "left")
+    every = every.withColumn("_use", F.explode(F.sequence(F.lit(1), F.coalesce("_times", F.lit(1)))))
+    return every.select(*docs.columns)
+
+
 def mix_sources(docs: DataFrame, target: Target | None = None, seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, source, n_tokens, epoch, block, slot, exponent`` and ``carry``: one row per use of a document.
 
@@ -112,14 +133,16 @@ def mix_sources(docs: DataFrame, target: Target | None = None, seed: str = "mix"
     own = ["doc_id", "source", "n_tokens", "epoch", "block", "slot", "exponent"]
     if clash := set(carry) & set(own):
         raise ValueError(f"columns of the result can't be carried: {sorted(clash)}")
+    return _uses(docs, target, seed, carry).drop("doc_key")
+
+
+def _uses(docs: DataFrame, target: Target | None, seed: str, carry: tuple[str, ...]) -> DataFrame:
     target = target or Target()
     work = Workspace(docs.sparkSession, "mix")
     text = F.btrim(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     n_tokens = F.when(text == "", 0).otherwise(F.size(F.split(text, WHITE_RUN, -1)))
     source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
-    identity = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
-    rows = docs.select("doc_id", source.alias("key"), n_tokens.cast("bigint").alias("n_tokens"), identity.alias("content"), *carry)
-    rows = rows.withColumn("doc_key", F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "content"))
+    rows = docs.select("doc_id", source.alias("key"), n_tokens.cast("bigint").alias("n_tokens"), _doc_key().alias("doc_key"), *carry)
     counted = work.save(rows.select("key", "doc_key", "n_tokens"), "tokens")
     sources = work.save(counted.groupBy("key").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("documents")), "sources")
     exponent = find_exponent(sources, target)
@@ -149,4 +172,4 @@ def mix_sources(docs: DataFrame, target: Target | None = None, seed: str = "mix"
     # A document is used while the budget is not yet met, so a pass overshoots by less than one document.
     used = used.filter("epoch = 0 or so_far < room")
     name = F.when(F.col("key") != "", F.expr("substring(key, 2)"))
-    return used.select("doc_id", name.alias("source"), "n_tokens", "epoch", F.col("block").cast("int").alias("block"), F.col("slot").cast("int").alias("slot"), F.lit(exponent).alias("exponent"), *carry)
+    return used.select("doc_key", "doc_id", name.alias("source"), "n_tokens", "epoch", F.col("block").cast("int").alias("block"), F.col("slot").cast("int").alias("slot"), F.lit(exponent).alias("exponent"), *carry)
