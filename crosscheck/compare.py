@@ -54,7 +54,7 @@ def differences(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str)
 
 
 def main(sf_dir: str, names: list[str]) -> int:
-    spark = build_session("crosscheck", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
+    spark = build_session("crosscheck", "local[4]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     failed = 0
     for name in names or QUERIES:

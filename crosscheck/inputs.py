@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from emploiscope.operators.grid import DEPARTEMENTS, ROME_CODES
 
@@ -67,15 +66,8 @@ SECTORS = [
 RUN_DATE_SQL = "DATE '2026-03-20'"
 
 
-# Schemas already read, so that later reads of a file need no footer job.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: list[str | None], index: Column) -> Column:
@@ -134,13 +126,18 @@ def adzuna(spark: SparkSession, sf_dir: str) -> DataFrame:
 def france_travail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw France Travail snapshots from events; only the nested fields staging reads are filled."""
     key, user = F.col("event_id"), F.col("user_id")
-    base, kind = text(30000 + (key % 100) * 500), key % 6
+    base, kind = text(30000 + (key % 100) * 500), key % 10
+    spaced = F.concat(text(30 + key % 40), F.lit(" 500,00"))
     libelle = (
         F.when(kind == 0, F.concat(F.lit("Annuel de "), base, F.lit(".0 Euros à "), base, F.lit("9.0 Euros sur 12.0 mois")))
         .when(kind == 1, F.concat(F.lit("Mensuel de 2500.0 Euros à "), base, F.lit(".0 Euros sur 13.0 mois")))
         .when(kind == 2, F.concat(F.lit("Horaire de "), text(key % 40 + 12), F.lit(",5 Euros")))
         .when(kind == 3, F.concat(F.lit("Annuel de "), base, F.lit(".0 Euros")))
         .when(kind == 4, F.lit("A négocier"))
+        .when(kind == 5, F.concat(F.lit("Mensuel de 2 500,00 Euros à "), F.translate(F.lit("3 200,00 Euros"), " ", "\u00a0")))
+        .when(kind == 6, F.concat(F.lit("Annuel de "), spaced, F.lit(" Euros")))
+        .when(kind == 7, F.concat(F.lit("Annuel de "), base, F.lit(".0 à 95000.0 Euros")))
+        .when(kind == 8, F.lit("Annuel selon profil, 13 mois"))
     )
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -152,8 +149,8 @@ def france_travail(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 3 == 0, "CDI").otherwise("CDD").alias("typeContrat"),
         F.lit("Temps plein").alias("dureeTravailLibelleConverti"),
         F.struct(
-            F.concat(F.lit("Lieu "), text(user)).alias("libelle"),
-            F.when(key % 13 != 0, text(75000 + user * 20)).alias("commune"),
+            F.when(key % 26 == 0, F.concat(padded(key % 25, 2), F.lit(" - Ville"))).otherwise(F.concat(F.lit("Lieu "), text(user))).alias("libelle"),
+            F.when(key % 13 != 0, F.when(key % 17 == 0, text(75101 + user % 20)).otherwise(text(75000 + user * 20))).alias("commune"),
             text(75000 + user).alias("codePostal"),
             F.col("value").alias("latitude"),
             (F.col("value") * 2).alias("longitude"),
@@ -250,12 +247,19 @@ def urssaf_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         measures.append(F.when(supplier % 7 != y % 7, heads).alias(f"effectifs_salaries_{y}"))
         measures.append(F.when(supplier % 5 != y % 5, sites).alias(f"nombre_d_etablissements_{y}"))
     grouped = table(spark, sf_dir, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(*measures)
-    code = text(75050 + supplier)
+    # Arrondissements of the three cities among the communes; the code begins with the département.
+    plain = F.concat(padded(supplier % 25, 2), padded(supplier % 1000, 3))
+    code = (
+        F.when(supplier % 25 == 3, text(75101 + supplier % 20))
+        .when(supplier % 25 == 4, text(69381 + supplier % 9))
+        .when(supplier % 25 == 5, text(13201 + supplier % 16))
+        .otherwise(plain)
+    )
     ape = F.when(supplier % 10 == 9, "7022Z").when(flag == "A", "6201Z").when(flag == "N", "6202A").otherwise("6203Z")
     return grouped.select(
         code.alias("code_commune"),
         F.concat(code, F.lit(" Commune")).alias("intitule_commune"),
-        padded(supplier % 25, 2).alias("code_departement"),
+        F.substring(code, 1, 2).alias("code_departement"),
         ape.alias("code_ape"),
         *(c for c in grouped.columns if c[-4:].isdigit()),
     )
@@ -320,6 +324,10 @@ def payroll(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_COMMUNE = """(CASE l_suppkey % 25 WHEN 3 THEN CAST(75101 + l_suppkey % 20 AS VARCHAR) WHEN 4 THEN CAST(69381 + l_suppkey % 9 AS VARCHAR)
+        WHEN 5 THEN CAST(13201 + l_suppkey % 16 AS VARCHAR)
+        ELSE lpad(CAST(l_suppkey % 25 AS VARCHAR), 2, '0') || lpad(CAST(l_suppkey % 1000 AS VARCHAR), 3, '0') END)"""
+
 # The same inputs as SQL, in dependency order.
 SQL: dict[str, str] = {
     "adzuna": f"""
@@ -360,18 +368,23 @@ SELECT event_id, 'FT' || (event_id % 4000) AS id,
        ({sql_list([*ROME_CODES, "M1899"])})[1 + event_id % 5] AS romeCode,
        CASE WHEN event_id % 3 = 0 THEN 'CDI' ELSE 'CDD' END AS typeContrat,
        'Temps plein' AS dureeTravailLibelleConverti,
-       'Lieu ' || user_id AS lieu,
-       CASE WHEN event_id % 13 <> 0 THEN CAST(75000 + user_id * 20 AS VARCHAR) END AS commune,
+       CASE WHEN event_id % 26 = 0 THEN lpad(CAST(event_id % 25 AS VARCHAR), 2, '0') || ' - Ville' ELSE 'Lieu ' || user_id END AS lieu,
+       CASE WHEN event_id % 13 <> 0 THEN CASE WHEN event_id % 17 = 0 THEN CAST(75101 + user_id % 20 AS VARCHAR)
+            ELSE CAST(75000 + user_id * 20 AS VARCHAR) END END AS commune,
        CAST(75000 + user_id AS VARCHAR) AS code_postal,
        value AS latitude,
        value * 2 AS longitude,
        CASE WHEN event_id % 4 <> 0 THEN 'Entreprise ' || (user_id % 97) END AS entreprise_nom,
-       CASE event_id % 6
+       CASE event_id % 10
             WHEN 0 THEN 'Annuel de ' || base || '.0 Euros à ' || base || '9.0 Euros sur 12.0 mois'
             WHEN 1 THEN 'Mensuel de 2500.0 Euros à ' || base || '.0 Euros sur 13.0 mois'
             WHEN 2 THEN 'Horaire de ' || (event_id % 40 + 12) || ',5 Euros'
             WHEN 3 THEN 'Annuel de ' || base || '.0 Euros'
-            WHEN 4 THEN 'A négocier' END AS salaire_libelle,
+            WHEN 4 THEN 'A négocier'
+            WHEN 5 THEN 'Mensuel de 2 500,00 Euros à ' || replace('3 200,00 Euros', ' ', chr(160))
+            WHEN 6 THEN 'Annuel de ' || (30 + event_id % 40) || ' 500,00 Euros'
+            WHEN 7 THEN 'Annuel de ' || base || '.0 à 95000.0 Euros'
+            WHEN 8 THEN 'Annuel selon profil, 13 mois' END AS salaire_libelle,
        CAST(ts AS DATE) AS _ingestion_date
 FROM (SELECT *, CAST(30000 + (event_id % 100) * 500 AS VARCHAR) AS base FROM events)""",
     "fetches": f"""
@@ -419,9 +432,7 @@ SELECT lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS siret,
        c_custkey % 3 = 0 AS siege
 FROM customer""",
     "urssaf_wide": f"""
-SELECT CAST(75050 + l_suppkey AS VARCHAR) AS code_commune,
-       CAST(75050 + l_suppkey AS VARCHAR) || ' Commune' AS intitule_commune,
-       lpad(CAST(l_suppkey % 25 AS VARCHAR), 2, '0') AS code_departement,
+SELECT {_COMMUNE} AS code_commune, {_COMMUNE} || ' Commune' AS intitule_commune, left({_COMMUNE}, 2) AS code_departement,
        CASE WHEN l_suppkey % 10 = 9 THEN '7022Z' WHEN l_returnflag = 'A' THEN '6201Z'
             WHEN l_returnflag = 'N' THEN '6202A' ELSE '6203Z' END AS code_ape,
        {", ".join(

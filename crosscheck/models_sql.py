@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from crosscheck.inputs import SQL as INPUTS
-from emploiscope.functions.codes import PARIS
 from emploiscope.functions.titles import CATEGORY_PATTERNS
 from emploiscope.plans.declared_checks import APE_CODES, BMO_CODES
 from crosscheck.inputs import YEARS
@@ -39,6 +38,9 @@ FROM (SELECT *, salaire_periodicite_inferree IS NOT NULL AS is_salaire_periodici
 
 _NAME = "trim(regexp_replace(translate(lower({0}), 'àâäçéèêëîïôöùûüÿ', 'aaaceeeeiioouuuy'), '[-''’ ]+', ' ', 'g'))"
 
+_CITY = """(CASE WHEN code_commune BETWEEN '75101' AND '75120' THEN '75056' WHEN code_commune BETWEEN '69381' AND '69389' THEN '69123'
+      WHEN code_commune BETWEEN '13201' AND '13216' THEN '13055' ELSE code_commune END)"""
+
 MODELS: dict[str, str] = {
     "latest_adzuna": """
 SELECT * FROM adzuna
@@ -58,11 +60,12 @@ FROM (SELECT id AS offre_id, intitule AS titre, description, dateCreation AS dat
              latitude, longitude, salaire_libelle, typeContrat AS type_contrat, dureeTravailLibelleConverti AS temps_travail,
              CASE WHEN lower(split_part(salaire_libelle, ' ', 1)) IN ('annuel', 'mensuel', 'horaire')
                   THEN lower(split_part(salaire_libelle, ' ', 1)) END AS salaire_periodicite,
-             TRY_CAST(replace(regexp_extract(salaire_libelle, 'de ([0-9.,]+) Euros', 1), ',', '.') AS DOUBLE) AS salaire_min,
-             TRY_CAST(replace(regexp_extract(salaire_libelle, 'à ([0-9.,]+) Euros', 1), ',', '.') AS DOUBLE) AS salaire_max,
+             TRY_CAST(replace(regexp_extract(gapless, 'de ([0-9.,]+)(Euros|à[0-9])', 1), ',', '.') AS DOUBLE) AS salaire_min,
+             TRY_CAST(replace(regexp_extract(gapless, 'à([0-9.,]+)Euros', 1), ',', '.') AS DOUBLE) AS salaire_max,
              coalesce(TRY_CAST(regexp_extract(salaire_libelle, 'sur ([0-9.]+) mois', 1) AS DOUBLE), 12) AS mois,
              {category_case("lower(intitule)")} AS categorie_metier
-      FROM france_travail
+      FROM (SELECT *, regexp_replace(regexp_replace(replace(salaire_libelle, chr(160), ' '), '([0-9à]) +', '\\1', 'g'), ' +(à|Euros)', '\\1', 'g') AS gapless
+            FROM france_travail)
       QUALIFY row_number() OVER (PARTITION BY id ORDER BY _ingestion_date DESC, dateCreation DESC) = 1)""",
     "regions": "SELECT code, nom, zone AS zone_geo FROM geo_regions",
     "departements": """
@@ -107,11 +110,15 @@ SELECT siret, siren, denomination AS denomination_usuelle, enseigne, naf AS code
 FROM sirene WHERE etat = 'A'""",
     "enriched": f"""
 SELECT f.offre_id, f.source, f.titre, f.date_creation, f.categorie_metier, f.entreprise_nom, f.salaire_annuel_min,
-       f.salaire_annuel_max, c.nom AS nom_commune, c.code_departement, c.nom_departement, c.code_region, c.nom_region,
-       f.place AS code_commune
-FROM (SELECT *, CASE WHEN code_commune BETWEEN '75101' AND '75120' THEN '{PARIS}' ELSE code_commune END AS place
+       f.salaire_annuel_max, c.nom AS nom_commune, coalesce(c.code_departement, d.code) AS code_departement,
+       coalesce(c.nom_departement, d.nom) AS nom_departement, coalesce(c.code_region, d.code_region) AS code_region,
+       coalesce(c.nom_region, d.nom_region) AS nom_region, f.place AS code_commune
+FROM (SELECT *, {_CITY} AS place,
+             CASE WHEN code_commune IS NULL THEN CASE WHEN localisation_libelle LIKE '__ - %' THEN left(localisation_libelle, 2) ELSE left(code_postal, 2) END
+                  END AS dept
       FROM stg_france_travail) f
 LEFT JOIN communes c ON c.code = f.place
+LEFT JOIN departements d ON d.code = f.dept
 WHERE f.is_metier_data
 UNION ALL
 SELECT a.offre_id, a.source, a.titre, a.date_creation, a.categorie_metier, a.entreprise_nom, a.salaire_annuel_min,
@@ -125,10 +132,9 @@ SELECT *, (coalesce(salaire_annuel_min, salaire_annuel_max) + coalesce(salaire_a
        CAST(date_trunc('month', date_creation) AS DATE) AS mois_publication
 FROM enriched""",
     "density": f"""
-SELECT CASE WHEN code_commune BETWEEN '75101' AND '75120' THEN '{PARIS}' ELSE code_commune END AS code_commune,
-       code_departement, annee, CAST(sum(nb_etablissements) AS BIGINT) AS nb_etablissements,
+SELECT {_CITY} AS code_commune, max(left({_CITY}, 2)) AS code_departement, annee, CAST(sum(nb_etablissements) AS BIGINT) AS nb_etablissements,
        CAST(sum(effectifs_salaries) AS BIGINT) AS effectifs_salaries
-FROM stg_urssaf GROUP BY 1, 2, 3""",
+FROM stg_urssaf GROUP BY {_CITY}, annee""",
     "tension": """
 SELECT code_departement, annee, CAST(sum(projets_recrutement) AS BIGINT) AS projets_recrutement,
        CAST(sum(projets_difficiles) AS BIGINT) AS projets_difficiles,

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import datetime
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,12 +34,24 @@ ORACLES: dict[str, str] = {}
 RUN_DATE = datetime.date(2026, 3, 20)
 
 
+def with_work_folder(spark: SparkSession) -> SparkSession:
+    """Give a local session without a shared folder one that ends with the process; a cluster must name its own."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="emploiscope-queries-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return spark
+
+
 def query(name: str, sql: str) -> Callable[[Query], Query]:
     """Register a query under ``name`` with the SQL it must agree with."""
 
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(apply_required(spark), sf_dir)
+            return function(with_work_folder(apply_required(spark)), sf_dir)
 
         QUERIES[name] = run
         ORACLES[name] = with_ctes(sql)
@@ -859,15 +874,11 @@ def load_adzuna(spark, sf):
     "load_france_travail",
     f"""
 SELECT id, intitule, commune, salaire_libelle, {inputs.RUN_DATE_SQL} AS _ingestion_date
-FROM (SELECT * FROM france_travail JOIN hot_fetches ON event_id = sequence
-      QUALIFY row_number() OVER (PARTITION BY rome, departement ORDER BY sequence) <= 1150)
-QUALIFY row_number() OVER (PARTITION BY id ORDER BY sequence DESC) = 1""",
+FROM france_travail QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id DESC) = 1""",
 )
 def load_france_travail(spark, sf):
-    """Offers of unevenly filled cells: each cell capped, the last fetch of an id kept."""
-    offers_seen = inputs.france_travail(spark, sf).drop("_ingestion_date")
-    cells = inputs.hot_fetches(spark, sf).drop("value")
-    rows = offers_seen.join(cells, F.col("event_id") == F.col("sequence")).drop("event_id")
+    """All offers, thousands of them under one job code; the last fetch of an id is kept."""
+    rows = inputs.france_travail(spark, sf).drop("_ingestion_date").withColumnRenamed("event_id", "sequence")
     path = _landed(spark, rows, "france_travail")
     table = _raw(
         spark,
@@ -920,7 +931,7 @@ def load_urssaf_effectifs(spark, sf):
     return _raw(
         spark,
         "urssaf_effectifs",
-        lambda name, where: landing.load_urssaf_effectifs(spark, path, inputs.YEARS, RUN_DATE, name, location=where),
+        lambda name, where: landing.load_urssaf_effectifs(spark, path, RUN_DATE, name, location=where),
     )
 
 
@@ -940,8 +951,8 @@ def load_bmo(spark, sf):
 
     def write(name: str, where: str) -> None:
         survey = inputs.bmo_survey(spark, sf)
-        landing.load_bmo(survey, RUN_DATE, name, location=where)
-        landing.load_bmo(survey.filter(F.col("annee") == "none"), RUN_DATE, name, location=where)
+        landing.load_bmo(spark, _landed(spark, survey, "bmo"), RUN_DATE, name, location=where)
+        landing.load_bmo(spark, _landed(spark, survey.filter(F.col("annee") == "none"), "bmo"), RUN_DATE, name, location=where)
 
     return _raw(spark, "bmo", write)
 

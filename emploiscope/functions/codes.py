@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The city of Paris and its twenty arrondissements.
+# The three cities with arrondissements, and these.
 PARIS = "75056"
 PARIS_ARRONDISSEMENTS = [str(code) for code in range(75101, 75121)]
+LYON = "69123"
+LYON_ARRONDISSEMENTS = [str(code) for code in range(69381, 69390)]
+MARSEILLE = "13055"
+MARSEILLE_ARRONDISSEMENTS = [str(code) for code in range(13201, 13217)]
 
 # Fixed value: text standing for a number withheld by statistical secrecy.
 MASK = "*"
@@ -25,8 +29,17 @@ def masked_number(text: Column) -> Column:
 
 
 def city_commune(code: Column) -> Column:
-    """Paris arrondissements become the commune of Paris; other codes stay."""
-    return F.when(code.isin(PARIS_ARRONDISSEMENTS), PARIS).otherwise(code)
+    """Arrondissements of Paris, Lyon and Marseille become their commune; other codes stay."""
+    cities = {PARIS: PARIS_ARRONDISSEMENTS, LYON: LYON_ARRONDISSEMENTS, MARSEILLE: MARSEILLE_ARRONDISSEMENTS}
+    folded = F.when(F.lit(False), code)
+    for commune, arrondissements in cities.items():
+        folded = folded.when(code.isin(arrondissements), commune)
+    return folded.otherwise(code)
+
+
+def departement_of_commune(code: Column) -> Column:
+    """The département a commune code begins with: three characters overseas, two elsewhere."""
+    return F.when(code.rlike("^9[78]"), F.substring(code, 1, 3)).otherwise(F.substring(code, 1, 2))
 
 
 def leading_code(text: Column) -> Column:
@@ -46,9 +59,18 @@ def name_key(name: Column) -> Column:
 
 
 def utc_timestamp(text: Column) -> Column:
-    """ISO-8601 text as an instant; text without an offset is taken as UTC."""
-    has_offset = text.rlike("(Z|[+-][0-9]{2}:?[0-9]{2})$")
-    return F.when(has_offset, text).otherwise(F.concat(text, F.lit("Z"))).cast("timestamp")
+    """ISO-8601 text as an instant; text without an offset, or without a time, is taken as UTC.
+
+    Offsets may be ``Z``, ``+02``, ``+0200`` or ``+02:00``.
+    """
+    offset = F.regexp_extract(text, "[T ].*?(Z|[+-][0-9]{2}(?::?[0-9]{2})?)$", 1)
+    moment = F.when(offset == "", text).otherwise(F.left(text, F.length(text) - F.length(offset)))
+    digits = F.regexp_replace(offset, ":", "")
+    zone = F.when(digits.isin("", "Z"), "+00:00").otherwise(
+        F.concat(F.substring(digits, 1, 3), F.lit(":"), F.coalesce(F.nullif(F.substring(digits, 4, 2), F.lit("")), F.lit("00")))
+    )
+    with_time = F.when(moment.rlike("[T ]"), moment).otherwise(F.concat(moment, F.lit("T00:00:00")))
+    return F.concat(with_time, zone).cast("timestamp")
 
 
 def month_tag(instant: Column) -> Column:

@@ -39,12 +39,17 @@ def midpoint(low: Column, high: Column) -> Column:
 
 
 # Reading of a salary sentence such as "Annuel de 35000.0 Euros à 45000.0 Euros sur 12.0 mois".
-_AMOUNT = r"([0-9]+(?:[.,][0-9]+)?)"
-_EUROS = _AMOUNT + r" *(?:Euros|€)"
+# Digit groups may be set apart by a space, a no-break space or a narrow no-break space; of two
+# amounts the first may go without its currency. Anything else is unreadable and gives NULL.
+_GAP = "[ \u00a0\u202f]"
+_AMOUNT = f"([0-9]{{1,3}}(?:{_GAP}[0-9]{{3}})+(?:[.,][0-9]+)?|[0-9]+(?:[.,][0-9]+)?)"
+_CURRENCY = f"{_GAP}*(?:Euros?|€)"
+_RANGE = f"^[^0-9]*?{_AMOUNT}(?:{_CURRENCY})?{_GAP}*à{_GAP}*{_AMOUNT}{_CURRENCY}"
+_SINGLE = f"^[^0-9]*?{_AMOUNT}{_CURRENCY}"
 
 
 def _number(text: Column) -> Column:
-    return F.nullif(F.regexp_replace(text, ",", "."), F.lit("")).cast("double")
+    return F.nullif(F.regexp_replace(F.regexp_replace(text, _GAP, ""), ",", "."), F.lit("")).cast("double")
 
 
 def sentence_period(sentence: Column) -> Column:
@@ -54,12 +59,13 @@ def sentence_period(sentence: Column) -> Column:
 
 
 def sentence_low(sentence: Column) -> Column:
-    return _number(F.regexp_extract(sentence, _EUROS, 1))
+    """The first amount of a range, or the only one."""
+    return F.coalesce(_number(F.regexp_extract(sentence, _RANGE, 1)), _number(F.regexp_extract(sentence, _SINGLE, 1)))
 
 
 def sentence_high(sentence: Column) -> Column:
     """The second amount; NULL when only one is given."""
-    return _number(F.regexp_extract(sentence, _EUROS + r".*?" + _EUROS, 2))
+    return _number(F.regexp_extract(sentence, _RANGE, 2))
 
 
 def sentence_months(sentence: Column) -> Column:

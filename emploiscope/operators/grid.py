@@ -13,8 +13,9 @@ from emploiscope.operators.latest import cap_per_group
 # Job codes and départements requested, and the most rows one request returns.
 ROME_CODES = ["M1805", "M1810", "M1806", "M1801"]
 # Corsica (20) counts as 2A and 2B.
-MAINLAND = [f"{number:02d}" for number in range(1, 96) if number != 20]
-DEPARTEMENTS = [*MAINLAND, "2A", "2B", "971", "972", "973", "974", "976"]
+DEPARTEMENTS = (
+    [f"{number:02d}" for number in range(1, 20)] + ["2A", "2B"] + [f"{number:02d}" for number in range(21, 96)] + ["971", "972", "973", "974", "976"]
+)
 MAX_OFFERS = 1150
 
 

@@ -22,17 +22,16 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
 def latest_snapshot(df: DataFrame, key: str, snapshot: str, then: Sequence[str] = ()) -> DataFrame:
     """The row of the newest snapshot per ``key``.
 
-    Ties (a snapshot loaded twice in a day) go to the largest of ``then``, and after that
-    to a hash of the whole row, so the choice is the same on every run. Select the needed
-    columns first: the hash reads all the columns ``df`` has.
+    Ties (a snapshot loaded twice in a day) go to the largest of ``then``. End ``then`` with a
+    narrow column that settles the rest, such as a row hash stamped at load time: a reader scans
+    the key, the order and what it selects, and nothing else.
     """
-    order = [F.col(c).desc() for c in (snapshot, *then)] + [F.xxhash64(*df.columns).desc()]
-    return first_per_key(df, [key], order)
+    return first_per_key(df, [key], [F.col(c).desc() for c in (snapshot, *then)])
 
 
-def last_wins(df: DataFrame, key: str, sequence: str) -> DataFrame:
-    """The last occurrence of each key in fetch order."""
-    return first_per_key(df, [key], [F.col(sequence).desc()])
+def last_wins(df: DataFrame, key: str, sequence: str, then: Sequence[str] = ()) -> DataFrame:
+    """The last occurrence of each key in fetch order; equal places go to the largest of ``then``."""
+    return first_per_key(df, [key], [F.col(c).desc() for c in (sequence, *then)])
 
 
 def cap_per_group(df: DataFrame, groups: Sequence[str], sequence: str, k: int, spread: int = 1024) -> DataFrame:

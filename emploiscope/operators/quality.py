@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 ERROR, WARN = "error", "warn"
@@ -94,7 +94,8 @@ def _row_report(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame
         F.when(wrong(check), F.struct(F.lit(i).alias("i"), F.col(check.columns[0]).cast("string").alias("value")))
         for i, check in enumerate(checks)
     ]
-    failed = df.select(F.inline_outer(F.array(*marks))).filter(F.col("i").isNotNull())
+    # Marks of checks that passed are left out first: a good row stays one row.
+    failed = df.select(F.inline_outer(F.filter(F.array(*marks), lambda mark: mark.isNotNull()))).filter(F.col("i").isNotNull())
     pairs = failed.groupBy("i", "value").agg(F.count("*").alias("n"))
     sums = [
         (F.sum(F.when(F.col("i") == i, F.col("n") if check.test == "not_null" else F.lit(1)))).alias(f"n{i}")
@@ -136,11 +137,12 @@ def orphan_keys(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     return keys.join(parent.select(F.col(check.field).alias("key")), "key", "left_anti")
 
 
-def enforce(report: DataFrame) -> None:
+def enforce(report: DataFrame | Sequence[Row]) -> None:
     """Raise ``CheckFailed`` naming the failed checks of severity ``error``; ``warn`` never raises.
 
-    The report holds one row per declared check, so reading it here is bounded.
+    The report, or its rows, holds one row per declared check, so reading it here is bounded.
     """
-    failed = report.filter((F.col("failures") > 0) & (F.col("severity") == ERROR)).collect()
+    rows = report.collect() if isinstance(report, DataFrame) else report
+    failed = [r for r in rows if r["failures"] > 0 and r["severity"] == ERROR]
     if failed:
         raise CheckFailed("; ".join(f"{r['model']}.{r['column']} {r['test']}: {r['failures']}" for r in failed))

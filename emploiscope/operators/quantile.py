@@ -7,14 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per doubling of the value. Doubles span about 2048 doublings on each side of
-# zero, which bounds the buckets of a group whatever the data.
+# A bucket is a pair, both parts rising with the value: its place in the group's range, and its
+# magnitude. The first splits values that lie close together far from zero, the second splits
+# a range that a few large values stretch. A group has at most as many buckets as the sum of both.
+_PLACES = 65536
 _BUCKETS_PER_DOUBLING = 64
 
 
-def _bucket(value: Column) -> Column:
-    magnitude = F.floor(F.log2(F.abs(value) + 1.0) * _BUCKETS_PER_DOUBLING)
-    return F.when(value < 0, -magnitude).otherwise(magnitude)
+def _finite(value: Column) -> Column:
+    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
+
+
+def _bucket(value: Column, low: Column, high: Column) -> Column:
+    """NULL for NULL; infinities at the ends, NaN above all, as Spark and most databases order it."""
+    place = F.when(high > low, F.floor((value / 2 - low / 2) / (high / 2 - low / 2) * (_PLACES - 1))).otherwise(0)
+    magnitude = F.floor(F.log2(F.abs(value)) * _BUCKETS_PER_DOUBLING) + 1100 * _BUCKETS_PER_DOUBLING
+    magnitude = F.when(value == 0, 0).when(value < 0, -magnitude).otherwise(magnitude)
+    ends = F.when(F.isnan(value), _PLACES + 1).when(value == float("inf"), _PLACES).when(value == float("-inf"), -1)
+    finite = _finite(value).isNotNull()
+    pair = F.struct(
+        F.when(finite, place).otherwise(ends).cast("bigint").alias("place"), F.when(finite, magnitude).otherwise(0).cast("bigint").alias("magnitude")
+    )
+    return F.when(value.isNotNull(), pair)
 
 
 def median_profile(
@@ -32,14 +46,23 @@ def median_profile(
 
     Equal values are counted before anything is grouped by key, and that one table feeds
     the rest. Counts per value bucket (a bounded number per key) locate the one or two
-    buckets holding the middle ranks; only the values of those buckets are sorted. No task
-    ever holds a whole group.
+    buckets holding the middle ranks; only the values of those buckets are sorted, so a task
+    holds a whole group only if its distinct values are within 1/65536 of the group's range of
+    each other. NaN counts as a value above infinity.
     """
     number = F.col(value).cast("double").alias("_value")
     times = F.sum("_weight") if weight else F.count("*")
     weights = [F.col(weight).alias("_weight")] if weight else []
     counts = df.select(*keys, number, *weights).groupBy(*keys, "_value").agg(times.alias("_count"))
-    counts = counts.withColumn("_bucket", _bucket(F.col("_value")))
+    finite = _finite(F.col("_value"))
+    ranges = counts.groupBy(*keys).agg(F.min(finite).alias("_low"), F.max(finite).alias("_high"))
+    ranges = ranges.select(*(F.col(key).alias(f"_of{i}") for i, key in enumerate(keys)), "_low", "_high")
+    of = F.lit(True)
+    for i, key in enumerate(keys):
+        of = of & counts[key].eqNullSafe(ranges[f"_of{i}"])
+    counts = counts.join(ranges, of).select(
+        *keys, "_value", "_count", _bucket(F.col("_value"), F.col("_low"), F.col("_high")).alias("_bucket")
+    )
 
     # Buckets in value order; rows without a value are the NULL bucket and get no rank.
     by_key = Window.partitionBy(*keys)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emploiscope.functions.codes import city_commune, name_key
+from emploiscope.functions.codes import city_commune, departement_of_commune, name_key
 from emploiscope.operators.lookup import add_names, unique_lookup
 
 _SHARED = [
@@ -31,12 +31,18 @@ _SHARED = [
 def int_offres_enrichies(adzuna: DataFrame, france_travail: DataFrame, communes: DataFrame, departements: DataFrame) -> DataFrame:
     """[declared] Data offers of both sources in one table, with geographic names.
 
-    France Travail offers are placed by commune code, the Paris arrondissements as Paris;
-    Adzuna offers carry no code and are placed by folded département name. An offer that
-    cannot be placed is kept with NULL names.
+    France Travail offers are placed by commune code, arrondissements as their city; one
+    without a commune is placed by the département of its place name ("69 - Lyon") or else of its
+    postal code. Adzuna offers carry no code and are placed by folded département name. An offer
+    that cannot be placed is kept with NULL names.
     """
+    coded = france_travail.filter("is_metier_data").select(
+        *_SHARED,
+        city_commune(F.col("code_commune")).alias("code_commune"),
+        F.when(F.col("code_commune").isNull(), _departement_code()).alias("_departement"),
+    )
     by_code = add_names(
-        france_travail.filter("is_metier_data").select(*_SHARED, city_commune(F.col("code_commune")).alias("code_commune")),
+        coded.filter("code_commune is not null").drop("_departement"),
         communes,
         F.col("code_commune"),
         "code",
@@ -48,6 +54,13 @@ def int_offres_enrichies(adzuna: DataFrame, france_travail: DataFrame, communes:
             "nom_region": "nom_region",
         },
     )
+    by_departement = add_names(
+        coded.filter("code_commune is null"),
+        departements,
+        F.col("_departement"),
+        "code",
+        {"code_departement": "code", "nom_departement": "nom", "code_region": "code_region", "nom_region": "nom_region"},
+    ).drop("_departement")
     names = unique_lookup(departements, name_key(F.col("nom")), ["code", "nom", "code_region", "nom_region"])
     by_name = add_names(
         adzuna.filter("is_metier_data").select(*_SHARED, name_key(F.col("departement_nom")).alias("_place")),
@@ -56,7 +69,19 @@ def int_offres_enrichies(adzuna: DataFrame, france_travail: DataFrame, communes:
         "_key",
         {"code_departement": "code", "nom_departement": "nom", "code_region": "code_region", "nom_region": "nom_region"},
     ).drop("_place")
-    return by_code.unionByName(by_name, allowMissingColumns=True)
+    return by_code.unionByName(by_departement, allowMissingColumns=True).unionByName(by_name, allowMissingColumns=True)
+
+
+def _departement_code() -> Column:
+    """From a place name that begins with the code, or from the postal code."""
+    named = F.regexp_extract("localisation_libelle", "^(2[AB]|9[78][0-9]|[0-9]{2}) *-", 1)
+    return F.coalesce(F.nullif(named, F.lit("")), departement_of_commune(F.col("code_postal")))
+
+
+def ambiguous_departements(departements: DataFrame) -> DataFrame:
+    """Folded names that several départements share, with their codes: offers go to the smallest code."""
+    names = departements.groupBy(name_key(F.col("nom")).alias("nom_plie"))
+    return names.agg(F.sort_array(F.collect_set("code")).alias("codes")).filter(F.size("codes") > 1)
 
 
 def unplaced_offers(offers: DataFrame) -> DataFrame:
@@ -70,11 +95,13 @@ def unplaced_offers(offers: DataFrame) -> DataFrame:
 def int_densite_sectorielle_commune(effectifs: DataFrame) -> DataFrame:
     """[declared] Headcount and establishments of the sector by commune and year.
 
-    Paris arrondissements are added up as the commune of Paris.
+    Arrondissements of Paris, Lyon and Marseille are added up as their commune. The département
+    is that of the commune, so there is one row per commune and year.
     """
+    commune = city_commune(F.col("code_commune"))
     return (
-        effectifs.withColumn("code_commune", city_commune(F.col("code_commune")))
-        .groupBy("code_commune", "code_departement", "annee")
+        effectifs.withColumn("code_commune", commune)
+        .groupBy("code_commune", departement_of_commune(F.col("code_commune")).alias("code_departement"), "annee")
         .agg(
             F.sum("nb_etablissements").alias("nb_etablissements"),
             F.sum("effectifs_salaries").alias("effectifs_salaries"),

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from emploiscope import schemas
 from emploiscope.functions.codes import label_after_code, leading_code, masked_number
-from emploiscope.operators.grid import MAX_OFFERS, cap_offers
 from emploiscope.operators.latest import last_wins
 from emploiscope.operators.reshape import keep_prefix, keep_values, project_paths, rename, unpivot_years
 from emploiscope.plans.declared_checks import APE_CODES, BMO_CODES
@@ -85,17 +84,41 @@ def adzuna_rows(offers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return flat.select(*(name for name in schemas.ADZUNA.fieldNames() if name in flat.columns))
 
 
-def france_travail_rows(offers: DataFrame, sequence: str, cap: int = MAX_OFFERS) -> DataFrame:
-    """Offers of all grid cells, each cell capped, then the last occurrence of every id."""
-    return last_wins(cap_offers(offers, sequence, cap), "id", sequence)
+def france_travail_rows(offers: DataFrame, sequence: str) -> DataFrame:
+    """Every landed offer, the last occurrence of an id winning in fetch order.
+
+    A row without ``sequence`` has no place in that order and fails the load. Equal places go to
+    the larger hash of the row.
+    """
+    known = F.when(F.col(sequence).isNotNull(), F.col(sequence)).otherwise(F.raise_error(F.lit(f"An offer has no {sequence}")).cast("bigint"))
+    hashed = offers.withColumn(sequence, known).withColumn("_hash", F.xxhash64(*offers.columns))
+    return last_wins(hashed, "id", sequence, ["_hash"]).drop("_hash")
 
 
 def urssaf_effectifs_rows(wide: DataFrame) -> DataFrame:
-    """Sector rows of the wide headcount table, one per year."""
+    """Sector rows of the wide headcount table, one per year that has a column."""
     kept = keep_values(wide, "code_ape", APE_CODES)
     return unpivot_years(kept, URSSAF_DIMENSIONS, URSSAF_HEADCOUNT, URSSAF_ESTABLISHMENTS)
 
 
+def urssaf_effectifs_records(lines: DataFrame) -> DataFrame:
+    """The same from JSON lines (column ``value``), the years found in each record's own fields."""
+    record = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    fields = lines.select(record.alias("r"))
+    dimensions = [F.col("r")[name].alias(name) for name in URSSAF_DIMENSIONS]
+    kept = keep_values(fields.select("r", *dimensions), "code_ape", APE_CODES)
+    prefix = URSSAF_HEADCOUNT[0]
+    named = F.filter(F.map_keys("r"), lambda key: key.rlike(f"^{prefix}[0-9]{{4}}$"))
+    long = kept.select("r", *URSSAF_DIMENSIONS, F.explode(named).alias("field"))
+    year = F.right("field", F.lit(4))
+    measures = {
+        URSSAF_HEADCOUNT[1]: F.col("r")[F.col("field")],
+        URSSAF_ESTABLISHMENTS[1]: F.col("r")[F.concat(F.lit(URSSAF_ESTABLISHMENTS[0]), year)],
+    }
+    out = long.select(*URSSAF_DIMENSIONS, year.cast("bigint").alias("annee"), *(v.cast("bigint").alias(k) for k, v in measures.items()))
+    return out.filter(" or ".join(f"{name} is not null" for name in measures))
+
+
 def urssaf_masse_salariale_rows(records: DataFrame) -> DataFrame:
     """Sector 62 payroll in year order, the sector split into code and label."""
     return payroll_columns(keep_prefix(records, "secteur_na88i", PAYROLL_SECTOR)).orderBy("annee")
@@ -126,25 +149,22 @@ def bmo_columns(renamed: DataFrame) -> DataFrame:
 def load_adzuna(spark: SparkSession, path: str, run_date: datetime.date, table: str = "raw.adzuna", **target) -> None:
     """Append one day's offers to the date-partitioned raw table; an empty file is loaded too."""
     rows = adzuna_rows(scan_json_text(spark, path, ADZUNA_FIELDS))
-    _append(sink.stamp(rows, run_date), table, **target)
+    _append(sink.stamp(rows, run_date, row_hash=True), table, **target)
 
 
 def load_france_travail(
     spark: SparkSession, path: str, run_date: datetime.date, table: str = "raw.france_travail", **target
 ) -> None:
-    """Append one day's offers, deduplicated, to the date-partitioned raw table.
+    """Append one day's offers, every one of them, deduplicated, to the date-partitioned raw table.
 
-    Landed lines carry the request cell (``rome``, ``departement``) and the fetch order
-    (``sequence``) beside the offer.
+    Landed lines carry the fetch order (``sequence``) beside the offer.
     """
     schema = schemas.record(
         **{f.name: f.dataType for f in schemas.FRANCE_TRAVAIL if f.name != sink.INGESTION_DATE},
-        rome=schemas.STRING,
-        departement=schemas.STRING,
         sequence=schemas.LONG,
     )
-    rows = france_travail_rows(scan_json(spark, path, schema), "sequence").drop("rome", "departement", "sequence")
-    _append(sink.stamp(rows, run_date), table, **target)
+    rows = france_travail_rows(scan_json(spark, path, schema), "sequence").drop("sequence")
+    _append(sink.stamp(rows, run_date, row_hash=True), table, **target)
 
 
 def _append(rows: DataFrame, table: str, **target) -> None:
@@ -171,17 +191,12 @@ def _under(root: str | None, table: str) -> str | None:
 def load_urssaf_effectifs(
     spark: SparkSession,
     path: str,
-    years: Sequence[int],
     run_date: datetime.date,
     table: str = "raw.urssaf_effectifs",
     **target,
 ) -> None:
-    """Replace the headcount table from the wide export holding ``years``."""
-    wide = schemas.record(
-        **{name: schemas.STRING for name in URSSAF_DIMENSIONS},
-        **{f"{prefix}{year}": schemas.LONG for year in years for prefix in (URSSAF_HEADCOUNT[0], URSSAF_ESTABLISHMENTS[0])},
-    )
-    rows = sink.stamp(urssaf_effectifs_rows(scan_json(spark, path, wide)), run_date)
+    """Replace the headcount table from the wide export, all years of every record."""
+    rows = sink.stamp(urssaf_effectifs_records(spark.read.text(path)), run_date)
     sink.load_table(rows.select(*schemas.URSSAF_EFFECTIFS.fieldNames()), table, **target)
 
 
@@ -192,8 +207,20 @@ def load_urssaf_masse_salariale(
     sink.load_table(sink.stamp(urssaf_masse_salariale_rows(text), run_date), table, **target)
 
 
-def load_bmo(survey: DataFrame, run_date: datetime.date, table: str = "raw.bmo", **target) -> bool:
-    """Replace the survey table; without any IT row the old table is left alone."""
+def scan_survey(spark: SparkSession, path: str) -> DataFrame:
+    """The survey from a delimited text with headers (``.csv``) or JSON lines, every cell as text, no inference.
+
+    The headers are read first; a missing one is an error before any other job. An empty cell is NULL.
+    """
+    if path.rstrip("/").endswith(".csv"):
+        survey = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        return require_columns(survey, BMO_HEADERS).select(*(F.col(f"`{name}`") for name in BMO_HEADERS))
+    return require_columns(scan_json_text(spark, path, BMO_HEADERS), BMO_HEADERS)
+
+
+def load_bmo(spark: SparkSession, path: str, run_date: datetime.date, table: str = "raw.bmo", **target) -> bool:
+    """Replace the survey table from a landed file; without any IT row the old table is left alone."""
+    survey = scan_survey(spark, path)
     return sink.load_table(sink.stamp(bmo_rows(survey), run_date), table, skip_if_empty=True, **target)
 
 

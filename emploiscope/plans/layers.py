@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emploiscope.operators.quality import enforce
 from emploiscope.plans import intermediate, marts
 from emploiscope.plans import staging_offers as offers
 from emploiscope.plans import staging_territory as territory
+from emploiscope.plans.declared_checks import CHECKS, check_model
 from emploiscope.sources.sink import load_table
 
+log = logging.getLogger(__name__)
+
 VIEW, TABLE = "view", "table"
 
 # How each layer is materialised, and the one model that differs.
-LAYER_KIND = {"staging": VIEW, "intermediate": TABLE, "marts": TABLE}
-MODEL_KIND = {"stg_sirene__etablissements": TABLE}
+# Staged models are tables too: a DataFrame can't become a view that other sessions read, and
+# several models and all checks read each of them.
+LAYER_KIND = {"staging": TABLE, "intermediate": TABLE, "marts": TABLE}
+MODEL_KIND: dict[str, str] = {}
 
 
 def materialise(
@@ -23,12 +30,12 @@ def materialise(
 ) -> DataFrame:
     """Make ``model`` readable by name and return it as the next model should read it.
 
-    Views are session views called ``model``; tables are ``layer.model``, the layer name
-    used as it is. ``kinds`` overrides the layer's kind for single models.
+    Tables are ``layer.model``, the layer name used as it is, readable from any session of the
+    catalog. ``kinds`` may make single models session views called ``layer__model`` instead.
     """
     if kinds.get(model, LAYER_KIND[layer]) == VIEW:
-        df.createOrReplaceTempView(model)
-        return df.sparkSession.table(model)
+        df.createOrReplaceTempView(f"{layer}__{model}")
+        return df.sparkSession.table(f"{layer}__{model}")
     load_table(df, f"{layer}.{model}", location=location)
     return df.sparkSession.table(f"{layer}.{model}")
 
@@ -38,14 +45,21 @@ def build(
 ) -> dict[str, DataFrame]:
     """All layers from the raw tables, keyed by model name; tables go under ``root`` if given.
 
-    Two models read each staged offer table. Pass ``{**MODEL_KIND, "stg_adzuna__offres": TABLE}``
-    to write one once instead of deduplicating and classifying per reader.
+    The declared checks of a staged model run as soon as it is built. One of severity error
+    that fails raises ``CheckFailed``, and nothing after it is built; those of severity warn are
+    logged.
     """
     built: dict[str, DataFrame] = {}
 
     def add(layer: str, model: str, df: DataFrame) -> DataFrame:
         location = f"{root.rstrip('/')}/{layer}/{model}" if root else None
         built[model] = materialise(df, layer, model, kinds, location)
+        if model in CHECKS:
+            report = check_model(built[model], model, built).collect()  # one row per declared check
+            for row in report:
+                if row["failures"]:
+                    log.warning("%s.%s %s: %s failures (%s)", row["model"], row["column"], row["test"], row["failures"], row["severity"])
+            enforce(report)
         return built[model]
 
     adzuna = add("staging", "stg_adzuna__offres", offers.stg_adzuna__offres(raw["adzuna"]))

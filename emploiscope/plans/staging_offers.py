@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from emploiscope.functions import salaries as pay
 from emploiscope.functions import titles
 from emploiscope.operators.latest import latest_snapshot
+from emploiscope.sources.sink import ROW_HASH
 
 # Columns of the staged table, in order.
 ADZUNA_COLUMNS = [
@@ -83,14 +84,13 @@ def with_annual_salary(typed: DataFrame) -> DataFrame:
 
 
 def with_category(offers: DataFrame) -> DataFrame:
-    """Job category of the title and its two flags.
+    """Job category of the title and its two flags, as plain columns.
 
-    The category comes out of a one-element explode, so filters on it or on the flags stay
-    above it: the patterns run once per offer, however many readers and filters follow.
+    A reader that uses none of the three evaluates no pattern. Where several models filter on
+    them, write the staged table once (the default of ``layers.build``).
     """
     category = F.col("categorie_metier")
-    once = F.explode_outer(F.array(titles.job_category(F.col("titre_normalise"))))
-    return offers.select("*", once.alias("categorie_metier")).select(
+    return offers.select("*", titles.job_category(F.col("titre_normalise")).alias("categorie_metier")).select(
         "*",
         titles.is_data_job(category).alias("is_metier_data"),
         titles.is_data_engineer(category).alias("is_data_engineer"),
@@ -98,8 +98,9 @@ def with_category(offers: DataFrame) -> DataFrame:
 
 
 def latest_offers(raw: DataFrame) -> DataFrame:
-    """The newest snapshot of every offer."""
-    return latest_snapshot(raw, "offre_id", "_ingestion_date", then=["date_creation"])
+    """The newest snapshot of every offer; ties go by creation date, then by the hash stamped at load time."""
+    then = ["date_creation", *([ROW_HASH] if ROW_HASH in raw.columns else [])]
+    return latest_snapshot(raw, "offre_id", "_ingestion_date", then)
 
 
 def stg_adzuna__offres(raw: DataFrame) -> DataFrame:
@@ -131,6 +132,7 @@ def stg_france_travail__offres(raw: DataFrame) -> DataFrame:
         F.col("typeContrat").alias("type_contrat"),
         F.col("dureeTravailLibelleConverti").alias("temps_travail"),
         "_ingestion_date",
+        *([ROW_HASH] if ROW_HASH in raw.columns else []),
     )
     low, high = F.col("salaire_min"), F.col("salaire_max")
     parsed = latest_offers(kept).select(
@@ -145,4 +147,4 @@ def stg_france_travail__offres(raw: DataFrame) -> DataFrame:
         pay.sentence_annual(period, F.coalesce(high, low), months).alias("salaire_annuel_max"),
         titles.normalised_title(F.col("titre")).alias("titre_normalise"),
     )
-    return with_category(parsed).drop("titre_normalise", "salaire_mois", "_ingestion_date")
+    return with_category(parsed).drop("titre_normalise", "salaire_mois", "_ingestion_date", ROW_HASH)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,15 +42,8 @@ def apply_required(spark: SparkSession) -> SparkSession:
 
 
 def working_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under ``spark.checkpoint.dir`` that every executor can reach.
-
-    Only a local-mode session without that setting falls back to a temporary folder.
-    """
+    """A fresh folder under ``spark.checkpoint.dir``, which every executor must reach."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-        shared = tempfile.mkdtemp(prefix="emploiscope-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

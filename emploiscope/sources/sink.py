@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
@@ -15,6 +16,8 @@ from emploiscope.sources.scan import scan
 MODE_BY_DISPOSITION = {"WRITE_TRUNCATE": "overwrite", "WRITE_APPEND": "append"}
 
 INGESTION_DATE = "_ingestion_date"
+# A narrow column that settles which of several equal-dated rows of a key is read.
+ROW_HASH = "_row_hash"
 
 
 def write_mode(disposition: str) -> str:
@@ -23,9 +26,51 @@ def write_mode(disposition: str) -> str:
     return MODE_BY_DISPOSITION[disposition]
 
 
-def stamp(df: DataFrame, run_date: datetime.date) -> DataFrame:
-    """Add ``_ingestion_date``. The date is given, never read from a clock, so reruns agree."""
-    return df.withColumn(INGESTION_DATE, F.lit(run_date))
+def stamp(df: DataFrame, run_date: datetime.date, row_hash: bool = False) -> DataFrame:
+    """Add ``_ingestion_date``, and ``_row_hash`` if asked. The date is given, never read from a clock, so reruns agree."""
+    hashed = df.withColumn(ROW_HASH, F.xxhash64(*df.columns)) if row_hash else df
+    return hashed.withColumn(INGESTION_DATE, F.lit(run_date))
+
+
+def _filesystem(spark: SparkSession, path: str):
+    """Hadoop's view of ``path`` and of the file system it is on."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _swap(spark: SparkSession, written: str, path: str) -> None:
+    """Put the complete folder ``written`` in the place of ``path``; what was there goes last."""
+    files, new = _filesystem(spark, written)
+    _, here = _filesystem(spark, path)
+    _, aside = _filesystem(spark, f"{path}.old-{uuid.uuid4().hex}")
+    replaced = files.exists(here)
+    if replaced and not files.rename(here, aside):
+        raise OSError(f"Could not move {path} aside")
+    files.mkdirs(here.getParent())
+    if not files.rename(new, here):
+        if replaced:
+            files.rename(aside, here)
+        raise OSError(f"Could not move {written} to {path}")
+    if replaced:
+        files.delete(aside, True)
+
+
+def _replace(writer: DataFrameWriter, spark: SparkSession, path: str, skip_if_empty: bool) -> bool:
+    """Write beside ``path`` and swap at the end: a failed job leaves the old rows as they were.
+
+    Emptiness is read from what was written, so the plan runs once.
+    """
+    path = path.rstrip("/")
+    written = f"{path}.new-{uuid.uuid4().hex}"
+    files, new = _filesystem(spark, written)
+    try:
+        writer.save(written)
+        if skip_if_empty and spark.read.parquet(written).isEmpty():
+            return False
+        _swap(spark, written, path)
+    finally:
+        files.delete(new, True)
+    return True
 
 
 def cluster(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -68,9 +113,11 @@ def load_path(
     """Write ``df`` as Parquet files; False when skipped because it has no rows.
 
     ``rebalance`` suits input holding many partition values; a daily append holds one and
-    is written from where it is, without a shuffle.
+    is written from where it is, without a shuffle. A replace takes effect when it is complete.
     """
     writer = _writer(df, disposition, partition_by, cluster_by, rebalance)
+    if disposition == "WRITE_TRUNCATE":
+        return _replace(writer, df.sparkSession, path, skip_if_empty)
     if skip_if_empty and df.isEmpty():
         return False
     writer.save(path)
@@ -87,19 +134,47 @@ def load_table(
     skip_if_empty: bool = False,
     location: str | None = None,
 ) -> bool:
-    """The same for a catalog table ``<layer>.<name>``; ``location`` makes it external."""
+    """The same for a catalog table ``<layer>.<name>``, in ``location`` or the layer's own folder."""
+    spark = df.sparkSession
     writer = _writer(df, disposition, partition_by, cluster_by, rebalance)
+    layer, _, name = table.rpartition(".")
+    if layer:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    if disposition == "WRITE_TRUNCATE":
+        path = location or f"{spark.catalog.getDatabase(layer or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}"
+        if not _replace(writer, spark, path, skip_if_empty):
+            return False
+        _point_table(spark, table, path, df, partition_by)
+        return True
     if skip_if_empty and df.isEmpty():
         return False
-    layer, _, _ = table.rpartition(".")
-    if layer:
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     if location:
         writer = writer.option("path", location)
     writer.saveAsTable(table)
     return True
 
 
+def _point_table(spark: SparkSession, table: str, path: str, df: DataFrame, partition_by: Sequence[str]) -> None:
+    """Let ``table`` read the files of ``path``, which are complete."""
+    if spark.catalog.tableExists(table):
+        known = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        same_place = known.get("Location", "").removeprefix("file:").rstrip("/") == path.removeprefix("file:").rstrip("/")
+        old = [(f.name, f.dataType) for f in spark.table(table).schema]
+        order = [f for f in df.schema if f.name not in partition_by] + [f for f in df.schema if f.name in partition_by]
+        if same_place and old == [(f.name, f.dataType) for f in order] and not partition_by:
+            spark.catalog.refreshTable(table)
+            return
+        if known.get("Type") == "MANAGED" and same_place:
+            # Dropping it would take the new files along.
+            aside = f"{path}-{uuid.uuid4().hex}"
+            _swap(spark, path, aside)
+            path = aside
+        spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    if partition_by:
+        spark.catalog.recoverPartitions(table)
+
+
 def load_file_to_table(
     spark: SparkSession,
     path: str,

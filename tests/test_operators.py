@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from emploiscope import schemas
-from emploiscope.operators import grid, latest, lookup, reshape
+from emploiscope.operators import grid, latest, lookup, quantile, reshape
 from emploiscope.operators.quantile import median_profile
 from emploiscope.plans import landing
 
@@ -31,7 +31,7 @@ def test_ties_do_not_depend_on_row_order(spark):
     for seed in range(4):
         random.Random(seed).shuffle(data)
         df = spark.createDataFrame(data, "id string, day string, v string").repartition(3)
-        results.add(tuple(latest.latest_snapshot(df, "id", "day").first()))
+        results.add(tuple(latest.latest_snapshot(df, "id", "day", ["v"]).first()))
     assert len(results) == 1
 
 
@@ -138,13 +138,13 @@ WIDE = "code_commune string, intitule_commune string, code_departement string, c
 
 def test_unpivot_keeps_years_with_any_measure(spark, plan):
     df = spark.createDataFrame(
-        [("94065", "94065 Rungis", "94", "6203Z", 178, 2, 173, 2, None, None), ("75101", "x", "75", "6201Z", 5, None, None, 4, None, None)],
+        [("31555", "31555 Toulouse", "31", "6203Z", 240, 7, 251, 8, None, None), ("75101", "x", "75", "6201Z", 5, None, None, 4, None, None)],
         WIDE + "effectifs_salaries_2022 int, nombre_d_etablissements_2022 int, effectifs_salaries_2023 int, "
         "nombre_d_etablissements_2023 int, effectifs_salaries_2024 int, nombre_d_etablissements_2024 int",
     )
     got = landing.urssaf_effectifs_rows(df)
     assert rows(got.select("code_commune", "annee", "effectifs_salaries", "nb_etablissements")) == sorted(
-        [("94065", 2022, 178, 2), ("94065", 2023, 173, 2), ("75101", 2022, 5, None), ("75101", 2023, None, 4)], key=repr
+        [("31555", 2022, 240, 7), ("31555", 2023, 251, 8), ("75101", 2022, 5, None), ("75101", 2023, None, 4)], key=repr
     )
     assert "Exchange" not in plan(got)
 
@@ -247,3 +247,16 @@ def test_median_profile_reads_its_input_once(spark, tmp_path):
     df = median_profile(spark.read.parquet(path), ["k"], "v")
     df.collect()
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_median_of_close_values_and_of_nan(spark):
+    nan, inf = float("nan"), float("inf")
+    data = [("nan", v) for v in (nan, 1.0, 2.0)] + [("inf", v) for v in (inf, -inf, 5.0, None)] + [("far", v) for v in (1e300, -1e300, 1e-300, 0.0, 7.0)]
+    df = spark.createDataFrame(data, "k string, v double")
+    got = {r["k"]: r["median"] for r in median_profile(df, ["k"], "v").collect()}
+    assert got == {"nan": 2.0, "inf": 5.0, "far": 1e-300}
+    # A hundred thousand values within 0.01: no bucket holds more than a few of them.
+    close = spark.range(100_000).select(F.lit("a").alias("k"), (F.col("id") / 1e7).alias("v"))
+    assert median_profile(close, ["k"], "v").first()["median"] == pytest.approx(49999.5 / 1e7)
+    sizes = close.groupBy(quantile._bucket(F.col("v"), F.lit(0.0), F.lit(0.0099999))).count().agg(F.max("count")).first()[0]
+    assert sizes < 10

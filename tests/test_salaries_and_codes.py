@@ -127,3 +127,31 @@ def test_stamp_uses_the_given_date(spark):
 
     row = stamp(spark.range(1), datetime.date(2026, 3, 20)).first()
     assert row["_ingestion_date"] == datetime.date(2026, 3, 20)
+
+
+def test_iso_texts_with_every_offset(spark):
+    texts = {
+        "2026-03-20": "2026-03-20 00:00:00",
+        "2026-03-20T10:00:00": "2026-03-20 10:00:00",
+        "2026-03-20T10:00:00Z": "2026-03-20 10:00:00",
+        "2026-03-20T10:00:00+02": "2026-03-20 08:00:00",
+        "2026-03-20T10:00:00-0330": "2026-03-20 13:30:00",
+        "2026-03-20 10:00:00.5+02:00": "2026-03-20 08:00:00",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: r[1] for r in df.select("t", F.date_format(codes.utc_timestamp(F.col("t")), "yyyy-MM-dd HH:mm:ss")).collect()}
+    assert got == texts
+
+
+def test_salary_sentences_with_digit_groups(spark):
+    cases = {
+        "Mensuel de 2 500,00 Euros à 3 000,00 Euros": (2500.0, 3000.0),
+        "Annuel de 35 000 Euros": (35000.0, None),
+        "Annuel de 35\u202f000 Euros à 1\u00a0035\u00a0000,5 €": (35000.0, 1035000.5),
+        "Annuel de 35000.0 à 45000.0 Euros": (35000.0, 45000.0),
+        "Annuel selon profil, 13 mois": (None, None),
+        "Horaire de 12,5 Euros sur 12 mois": (12.5, None),
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = {r[0]: (r[1], r[2]) for r in df.select("t", salaries.sentence_low(F.col("t")), salaries.sentence_high(F.col("t"))).collect()}
+    assert got == cases

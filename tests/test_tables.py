@@ -1,10 +1,12 @@
 import datetime
+import re
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from emploiscope import schemas
+from emploiscope.operators.quality import CheckFailed
 from emploiscope.plans import intermediate, layers, marts
 from emploiscope.plans import staging_offers as offers
 from emploiscope.plans import staging_territory as territory
@@ -140,13 +142,13 @@ def test_stg_urssaf_and_density(spark):
         schemas.URSSAF_EFFECTIFS,
         {"code_commune": "75101", "code_departement": "75", "code_ape": "6201Z", "annee": 2023, "effectifs_salaries": 5},
         {"code_commune": "75120", "code_departement": "75", "code_ape": "6202A", "annee": 2023, "nb_etablissements": 2},
-        {"code_commune": "94065", "code_departement": "94", "code_ape": "6202A", "annee": 2023, "nb_etablissements": 1},
+        {"code_commune": "69383", "code_departement": "69", "code_ape": "6202A", "annee": 2023, "nb_etablissements": 1},
     )
     staged = territory.stg_urssaf__effectifs_commune_ape(raw)
     assert "_ingestion_date" not in staged.columns
     assert rows(staged, "nb_etablissements", "effectifs_salaries") == [(0, 5), (1, 0), (2, 0)]
     density = intermediate.int_densite_sectorielle_commune(staged)
-    assert rows(density, "code_commune", "nb_etablissements", "effectifs_salaries") == [("75056", 2, 5), ("94065", 1, 0)]
+    assert rows(density, "code_commune", "nb_etablissements", "effectifs_salaries") == [("69123", 1, 0), ("75056", 2, 5)]
 
 
 def test_stg_sirene(spark, tmp_path, plan):
@@ -217,11 +219,11 @@ def test_territory_mart_keeps_both_sides(spark):
         "code_departement string, annee bigint, projets_recrutement bigint, projets_difficiles bigint, taux_difficulte_pct double",
     )
     payroll = spark.createDataFrame(
-        [(2023, 32000000000, 590000), (2024, 1, 0)], "annee bigint, masse_salariale_brute bigint, effectifs_salaries_moyens bigint"
+        [(2023, 24000000000, 480000), (2024, 1, 0)], "annee bigint, masse_salariale_brute bigint, effectifs_salaries_moyens bigint"
     )
     mart = marts.mart_contexte_territorial(density, tension, payroll)
     columns = ["code_departement", "annee", "nb_communes", "effectifs_salaries", "taux_difficulte_pct", "salaire_moyen_national"]
-    assert rows(mart, *columns) == [("2A", 2024, None, None, 50.0, None), ("75", 2023, 2, 6, None, 54237.29)]
+    assert rows(mart, *columns) == [("2A", 2024, None, None, 50.0, None), ("75", 2023, 2, 6, None, 50000.0)]
 
 
 def mart(spark):
@@ -266,17 +268,58 @@ def test_layers(spark, tmp_path):
         etablissementSiege=schemas.BOOLEAN,
     )
     raw = {name: frame(spark, schema) for name, schema in schemas.RAW_TABLES.items()}
-    raw |= {"adzuna": adzuna(spark), "france_travail": france_travail(spark)}
-    raw["sirene_etablissement"] = frame(spark, sirene_schema, {"siret": "1", "etatAdministratifEtablissement": "A"})
+    complete = {"date_creation": F.coalesce("date_creation", F.lit("2026-03-01").cast("timestamp")), "localisation_libelle": F.lit("Rennes")}
+    raw |= {"adzuna": adzuna(spark).withColumns(complete), "france_travail": france_travail(spark)}
+    shop = {"siret": "1", "siren": "2", "activitePrincipaleEtablissement": "62.01Z", "etatAdministratifEtablissement": "A"}
+    shop |= {"statutDiffusionEtablissement": "O", "caractereEmployeurEtablissement": "N", "etablissementSiege": True}
+    raw["sirene_etablissement"] = frame(spark, sirene_schema, shop)
     built = layers.build(spark, raw, root=str(tmp_path / "layers"))
     assert len(built) == 14
-    assert not spark.catalog.tableExists("staging.stg_adzuna__offres")
-    assert spark.table("stg_adzuna__offres").count() == 3
+    assert spark.newSession().table("staging.stg_adzuna__offres").count() == 3
     for table in ("staging.stg_sirene__etablissements", "intermediate.int_offres_enrichies", "marts.mart_contexte_territorial"):
         assert spark.catalog.tableExists(table)
     assert spark.table("marts.mart_offres").count() == 4
-    again = layers.build(
-        spark, raw, {**layers.MODEL_KIND, "stg_adzuna__offres": layers.TABLE}, str(tmp_path / "layers")
-    )
+    again = layers.build(spark, raw, {"stg_geo__regions": layers.VIEW}, str(tmp_path / "layers"))
+    assert spark.table("staging__stg_geo__regions").count() == 0
     assert spark.table("staging.stg_adzuna__offres").count() == 3
     assert again["mart_offres"].filter(F.col("salaire_annuel_milieu").isNotNull()).count() == 3
+
+
+def test_a_failed_check_stops_the_build(spark, tmp_path):
+    raw = {name: frame(spark, schema) for name, schema in schemas.RAW_TABLES.items()}
+    raw["adzuna"] = frame(spark, schemas.ADZUNA, {"offre_id": None, "titre": "Data Engineer", "_ingestion_date": DAY})
+    with pytest.raises(CheckFailed, match="stg_adzuna__offres.offre_id not_null"):
+        layers.build(spark, raw, root=str(tmp_path / "stopped"))
+    assert not (tmp_path / "stopped" / "marts").exists()
+
+
+def test_staged_readers_scan_what_they_select(spark, tmp_path, plan):
+    path = str(tmp_path / "raw")
+    adzuna(spark).withColumn("_row_hash", F.xxhash64("offre_id")).write.parquet(path)
+    raw = spark.read.parquet(path)
+    read = plan(offers.stg_adzuna__offres(raw).select("offre_id", "titre")).split("ReadSchema: ")[1].split("\n")[0]
+    assert set(re.findall(r"(\w+):", read)) == {"offre_id", "titre", "date_creation", "_row_hash", "_ingestion_date"}
+    assert "RLIKE" not in plan(offers.stg_adzuna__offres(raw).groupBy("region").count())
+
+
+def test_density_has_one_row_per_commune_and_year(spark):
+    data = [(c, d, "6201Z", 2023, 1, 2) for c, d in (("75101", "75"), ("75102", "92"), ("69381", "69"), ("13216", "13"), ("13055", None), ("97411", "974"))]
+    df = spark.createDataFrame(data, "code_commune string, code_departement string, code_ape string, annee int, nb_etablissements int, effectifs_salaries int")
+    density = intermediate.int_densite_sectorielle_commune(df)
+    assert rows(density, "code_commune", "code_departement", "nb_etablissements") == [("13055", "13", 2), ("69123", "69", 1), ("75056", "75", 2), ("97411", "974", 1)]
+
+
+def test_offers_without_commune_are_placed_by_departement(spark):
+    _, departements, communes = geography(spark)
+    raw = frame(
+        spark,
+        schemas.FRANCE_TRAVAIL,
+        {"id": "1", "intitule": "Data Engineer", "lieuTravail": ("95 - Cergy", None, None, None, None), "_ingestion_date": DAY},
+        {"id": "2", "intitule": "Data Engineer", "lieuTravail": ("Paris", None, "75011", None, None), "_ingestion_date": DAY},
+        {"id": "3", "intitule": "Data Engineer", "lieuTravail": ("Paris 1er", "75101", None, None, None), "_ingestion_date": DAY},
+        {"id": "4", "intitule": "Data Engineer", "_ingestion_date": DAY},
+    )
+    placed = intermediate.int_offres_enrichies(offers.stg_adzuna__offres(frame(spark, schemas.ADZUNA)), offers.stg_france_travail__offres(raw), communes, departements)
+    assert rows(placed, "offre_id", "code_departement", "nom_commune") == [("1", "95", None), ("2", "75", None), ("3", "75", "Paris"), ("4", None, None)]
+    twice = departements.union(departements.filter("code = '75'").withColumn("code", F.lit("99")))
+    assert rows(intermediate.ambiguous_departements(twice), "nom_plie", "codes") == [("paris", ["75", "99"])]
