@@ -337,14 +337,39 @@ def b9(spark, sf):
     return _by_status(spark.read.parquet(path))
 
 
-@query("b10_layers", "SELECT kind, d.* FROM density d, (SELECT unnest(['view', 'table']) AS kind)")
+@query("b10_layers", "SELECT kind, d.* FROM density d, (SELECT unnest(['view', 'staging', 'intermediate']) AS kind)")
 def b10(spark, sf):
-    """A model read back by name as a staging view and as an intermediate table."""
-    model = density(spark, sf)
-    view = layers.materialise(model, "staging", "crosscheck_densite_vue")
-    location = working_folder(spark, "b10")
-    table = layers.materialise(model, "intermediate", "crosscheck_densite", location=location)
-    return view.withColumn("kind", F.lit("view")).unionByName(table.withColumn("kind", F.lit("table")))
+    """A model read back by name: a session view, ``staging.<model>`` and an intermediate table."""
+    model, name = density(spark, sf), "crosscheck_densite"
+    view = layers.materialise(model, "staging", name, {name: layers.VIEW})
+    read = [view.withColumn("kind", F.lit("view"))]
+    for layer in ("staging", "intermediate"):
+        layers.materialise(model, layer, name, location=f"{working_folder(spark, 'b10')}/{name}")
+        read.append(spark.table(f"{layer}.{name}").withColumn("kind", F.lit(layer)))
+    return grid.concat_fetches(read)
+
+
+@query(
+    "b3_dispositions",
+    """
+SELECT step, o_orderstatus, n * times AS n, CAST(1 AS BIGINT) AS refused
+FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1),
+     (SELECT unnest(['WRITE_TRUNCATE', 'WRITE_APPEND', 'WRITE_TRUNCATE again']) AS step, unnest([1, 2, 1]) AS times)""",
+)
+def b3(spark, sf):
+    """Both dispositions written and read back; any other is refused and changes nothing."""
+    refused, read = 0, []
+    for step in ("WRITE_TRUNCATE", "WRITE_APPEND", "WRITE_TRUNCATE again"):
+        path = working_folder(spark, "b3")
+        sink.load_path(_orders(spark, sf), path, "WRITE_TRUNCATE")
+        sink.load_path(_orders(spark, sf), path, step.split(" ")[0])
+        try:
+            sink.load_path(_orders(spark, sf), path, "WRITE_EMPTY")
+        except ValueError:
+            refused = 1
+        counted = spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+        read.append(counted.select(F.lit(step).alias("step"), "o_orderstatus", "n", F.lit(refused).cast("bigint").alias("refused")))
+    return grid.concat_fetches(read)
 
 
 # C: ingestion-time transforms.
@@ -935,6 +960,29 @@ def load_urssaf_effectifs(spark, sf):
     )
 
 
+@query(
+    "load_urssaf_years_per_record",
+    f"""
+SELECT '31555' AS code_commune, 'Commune ' || l_suppkey AS intitule_commune, '31' AS code_departement, '6201Z' AS code_ape,
+       CAST(year(l_shipdate) AS BIGINT) AS annee, CAST(count(*) AS BIGINT) AS effectifs_salaries,
+       CASE WHEN l_suppkey % 2 = 0 THEN CAST(1 AS BIGINT) END AS nb_etablissements, {inputs.RUN_DATE_SQL} AS _ingestion_date
+FROM lineitem GROUP BY l_suppkey, year(l_shipdate)""",
+)
+def load_urssaf_years(spark, sf):
+    """Records that each hold a year of their own; no year is named beforehand."""
+    supplier, year = F.col("l_suppkey"), F.year("l_shipdate").cast("string")
+    counted = inputs.table(spark, sf, "lineitem").groupBy(supplier, year.alias("y")).agg(F.count("*").cast("string").alias("n"))
+    fields = F.create_map(
+        *[F.lit("code_commune"), F.lit("31555"), F.lit("intitule_commune"), F.concat(F.lit("Commune "), supplier.cast("string"))],
+        *[F.lit("code_departement"), F.lit("31"), F.lit("code_ape"), F.lit("6201Z")],
+        *[F.concat(F.lit("effectifs_salaries_"), "y"), F.col("n")],
+        *[F.concat(F.lit("nombre_d_etablissements_"), "y"), F.when(supplier % 2 == 0, "1")],
+    )
+    path = sink.landing_path(working_folder(spark, "landing"), "urssaf_effectifs", RUN_DATE, "lines.jsonl")
+    counted.select(F.to_json(fields).alias("value")).write.text(path)
+    return _raw(spark, "urssaf_years", lambda name, where: landing.load_urssaf_effectifs(spark, path, RUN_DATE, name, location=where))
+
+
 @query("load_urssaf_masse_salariale", f"SELECT *, {inputs.RUN_DATE_SQL} AS _ingestion_date FROM stg_payroll")
 def load_urssaf_masse_salariale(spark, sf):
     path = _landed(spark, inputs.payroll(spark, sf), "urssaf_masse_salariale")

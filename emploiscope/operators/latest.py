@@ -39,8 +39,9 @@ def cap_per_group(df: DataFrame, groups: Sequence[str], sequence: str, k: int, s
 
     Input partitions are dealt over ``spread`` sub-groups, each cut to k, before the groups
     are cut: a group that fills half the table is ranked by many tasks, and the last step
-    sees at most ``spread * k`` rows of it.
+    sees at most ``spread * k`` rows of it. Equal places go by a hash of the row, so the same rows
+    are kept on every run.
     """
-    order = [F.col(sequence)]
+    order = [F.col(sequence), F.xxhash64(*df.columns)]
     dealt = df.withColumn("_spread", F.pmod(F.spark_partition_id(), F.lit(spread)))
     return first_per_key(first_per_key(dealt, [*groups, "_spread"], order, k).drop("_spread"), groups, order, k)

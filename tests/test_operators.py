@@ -9,6 +9,7 @@ from emploiscope import schemas
 from emploiscope.operators import grid, latest, lookup, quantile, reshape
 from emploiscope.operators.quantile import median_profile
 from emploiscope.plans import landing
+from emploiscope.plans.declared_checks import APE_CODES, BMO_CODES, CHECKS
 
 
 def rows(df):
@@ -260,3 +261,13 @@ def test_median_of_close_values_and_of_nan(spark):
     assert median_profile(close, ["k"], "v").first()["median"] == pytest.approx(49999.5 / 1e7)
     sizes = close.groupBy(quantile._bucket(F.col("v"), F.lit(0.0), F.lit(0.0099999))).count().agg(F.max("count")).first()[0]
     assert sizes < 10
+
+
+def test_fixed_lists_are_pinned():
+    """The SQL twins read these lists from the product, so they stand here on their own."""
+    assert APE_CODES == ["6201Z", "6202A", "6203Z", "6209Z"]
+    assert BMO_CODES == ["M1X80", "M1X81", "M2X90", "M2X91", "M2X92", "M2X93"]
+    assert grid.ROME_CODES == ["M1805", "M1810", "M1806", "M1801"]
+    assert grid.DEPARTEMENTS[17:23] == ["18", "19", "2A", "2B", "21", "22"] and grid.DEPARTEMENTS[-6:] == ["95", "971", "972", "973", "974", "976"]
+    assert len(grid.DEPARTEMENTS) == len(set(grid.DEPARTEMENTS)) == 101 and grid.MAX_OFFERS == 1150
+    assert {model: len(checks) for model, checks in CHECKS.items()} == {'stg_adzuna__offres': 12, 'stg_geo__regions': 5, 'stg_geo__departements': 8, 'stg_geo__communes': 9, 'stg_bmo__projets_recrutement': 7, 'stg_urssaf__effectifs_commune_ape': 8, 'stg_sirene__etablissements': 11}
