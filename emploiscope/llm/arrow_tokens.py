@@ -23,12 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emploiscope.llm.workspace import Workspace, shuffle_partitions
+from emploiscope.llm.workspace import Workspace, bounded_batches, shuffle_partitions
 
 LENGTH = 2048
 SEQUENCES_PER_BATCH = 128
 END = 0
-CACHE_CHARS = 16_000_000
+CACHE_CHARS = 4_000_000
 BLOCK_TEXTS = 64
 
 _MANIFEST = "part int, path string, n_tokens bigint, n_docs bigint"
@@ -206,6 +206,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, work:
     on the executors. ``base`` is the number of ids in the files before. A null text is empty; a
     null doc_id sorts first; rows with equal doc_ids follow each other. Empty tables give no file.
     """
+    bounded_batches(docs.sparkSession)
     work = work or Workspace(docs.sparkSession, "arrow-tokens")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emploiscope.llm.workspace import Workspace
+from emploiscope.llm.workspace import Workspace, bounded_batches
 
 SAMPLE_PAGES = 400
 SAMPLE_NODES = 20_000
@@ -447,6 +447,7 @@ def extract_main_text(pages: DataFrame, forest: Forest | None = None) -> DataFra
     article, gives an empty text. Repeated rows are read each; null ids and urls are carried; other
     columns are ignored; an empty table gives none.
     """
+    bounded_batches(pages.sparkSession)
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     forest = forest or fit(rows)
     kind = dict(rows.dtypes)["page_id"]

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emploiscope.llm.workspace import bounded_batches
+
 UNKNOWN = "unknown"
 
 # Sentences of public licences, normalised as by normalise(), and their identifiers.
@@ -185,5 +187,6 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     empty texts have none; repeated rows are scanned each; null doc_ids are carried; other columns
     are ignored; an empty table gives none.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_scan, "doc_id bigint, licenses array<string>, sentences array<string>, n_unknown bigint")

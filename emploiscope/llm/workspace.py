@@ -25,10 +25,23 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+# Rows and bytes that go to a Python worker at once: texts may be long, so both are bounded.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``BATCHES``; a session that has set smaller ones keeps them."""
+    for key, most in BATCHES.items():
+        now = spark.conf.get(key).removesuffix("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            spark.conf.set(key, str(most))
+
+
 class Workspace:
     """One run's folder under the shared root. A saved table cuts the lineage and outlives lost executors."""
 
     def __init__(self, spark: SparkSession, purpose: str) -> None:
+        bounded_batches(spark)
         self.spark = spark
         self.folder = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
         self._count = 0
