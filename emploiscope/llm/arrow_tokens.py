@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emploiscope.llm.text import gives_back
 from emploiscope.llm.workspace import Workspace, bounded_batches, shuffle_partitions
 
 LENGTH = 2048
@@ -168,6 +169,7 @@ class Sequences:
 
 
 def _write(tokenizer: str, folder: str, length: int):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         encoder = writer = None
@@ -217,6 +219,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, length: int = LENGTH, work:
 
 
 def _digests(folder: str):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):

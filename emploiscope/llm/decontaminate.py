@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emploiscope.llm.text import ALPHANUMERIC, LOWER, Words, blocks, windows, words
+from emploiscope.llm.text import ALPHANUMERIC, LOWER, Words, blocks, gives_back, windows, words
 from emploiscope.llm.workspace import Workspace, without
 
 WINDOW = 13
@@ -67,6 +67,7 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _occurrences(block: int, wanted: dict[int, np.ndarray], total: bool):
     """Three kinds of rows: places of a wanted shingle in a text; the words of an unbroken run of places; n_words if ``total``."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()

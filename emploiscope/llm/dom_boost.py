@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emploiscope.llm.text import gives_back
 from emploiscope.llm.workspace import Workspace, bounded_batches
 
 SAMPLE_PAGES = 400
@@ -422,6 +423,7 @@ def fit(pages: DataFrame) -> Forest | None:
 
 
 def _extract(forest: Forest | None):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, BATCH_PAGES):

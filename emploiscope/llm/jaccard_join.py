@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emploiscope.llm.components import components
-from emploiscope.llm.text import SPACED, U, blocks, mix, shingle_sets, words
+from emploiscope.llm.text import SPACED, U, blocks, gives_back, mix, shingle_sets, words
 from emploiscope.llm.workspace import Workspace, shuffle_partitions, without
 
 LONG = 16
@@ -66,6 +66,7 @@ def _post(buckets: int, size: int, percent: int, share: float):
     """Postings of the shingles in the lowest ``share`` of the hash range and of each text's needed lists."""
     last = U(min(int(share * 2**64), 2**64 - 1))
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, counts, listed, records, posted, owners = [], [], [], [], [], []
@@ -119,7 +120,7 @@ def _merged_batch(kind: int, **columns) -> pa.RecordBatch:
 
 def _merge(share: float):
     last = U(min(int(share * 2**64), 2**64 - 1))
-    return lambda batches: _merge_lists(batches, last)
+    return gives_back(lambda batches: _merge_lists(batches, last))
 
 
 def _merge_lists(batches: Iterator[pa.RecordBatch], last: np.uint64) -> Iterator[pa.RecordBatch]:
@@ -171,6 +172,7 @@ def _merge_lists(batches: Iterator[pa.RecordBatch], last: np.uint64) -> Iterator
 
 
 def _sets(size: int):
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in blocks(batch.column("text")):
@@ -186,6 +188,7 @@ def _sets(size: int):
 def _own_sets(size: int):
     """The shingles of the rows whose text is the record they are joined with."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             records, classes = batch.column("record").to_pylist(), batch.column("class").to_pylist()
@@ -211,6 +214,7 @@ def _search(queries: dict[int, tuple[int, np.ndarray]], size: int, percent: int)
     order = np.argsort(shingle, kind="stable")
     shingle, owner = shingle[order], owner[order]
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a: list[int] = []
@@ -270,6 +274,7 @@ def _probe(values: np.ndarray, candidate: np.ndarray) -> int:
 def _verify(percent: int):
     """Keeps the pairs with 100 * |a & b| >= percent * |a | b|."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []

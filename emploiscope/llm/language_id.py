@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emploiscope.llm.text import gives_back
 from emploiscope.llm.workspace import Workspace
 
 SAMPLE_PER_LANGUAGE = 400
@@ -222,6 +223,7 @@ def fit(labelled: DataFrame, pieces: list[str], per_language: int = SAMPLE_PER_L
 def _predict(model: Model):
     kept: list[Model] = []
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not kept:
             kept.append(Model(model.vocabulary, model.languages, model.probability, model.prior))

@@ -7,7 +7,9 @@ modulo 2**64; equal words have equal hashes, and unequal words agree with a chan
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,6 +62,23 @@ class _Powers:
 _POWERS = _Powers()
 
 
+def gives_back(run: Callable) -> Callable:
+    """A function over batches that returns freed memory to the system at its end.
+
+    Spark keeps Python workers for later tasks; without this each would keep its peak.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return wrapped
+
+
 @dataclass
 class Words:
     """Words of a block in order. ``first[i]:first[i + 1]`` are the words of text ``i``."""
