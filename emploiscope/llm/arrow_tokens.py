@@ -36,9 +36,12 @@ _MANIFEST = "part int, path string, n_tokens bigint, n_docs bigint"
 _INDEX = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
 
 # A space between two characters that are no white space begins a token in byte-level BPE's
-# splitting pattern, so pieces cut there are encoded independently of each other.
+# splitting pattern, so pieces cut there are encoded independently of each other. So is a mark
+# behind a letter or digit.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _DOUBLE = re.compile(r"\s\s")
+_WHITE = re.compile(r"\s")
+_MARKS = ".,"
 
 
 class Encoder:
@@ -54,34 +57,58 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
+        # The ids of a piece with a space before it.
         self.known: dict[str, bytes] = {}
         self.held = 0
+        self.line = self._ids(["\n"])[0]
+        self.marks = dict(zip(_MARKS, self._ids(list(_MARKS)), strict=True))
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, pieces: set[str]) -> None:
-        new = list(pieces.difference(self.known))
+        new = pieces.difference(self.known)
         if self.held > CACHE_CHARS:
-            self.known, self.held, new = {}, 0, list(pieces)
-        for low in range(0, len(new), 4096):
-            part = new[low : low + 4096]
-            for piece, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[piece] = np.array(encoding.ids, dtype=self.dtype).tobytes()
-                self.held += len(piece)
+            self.known, self.held, new = {}, 0, set(pieces)
+        marked = [x for x in new if x[-1:] in self.marks and x[-2:-1].isalnum()]
+        new.difference_update(marked)
+        new.update({x[:-1] for x in marked}.difference(self.known))
+        crossing = [x for x in new if "\n" in x]
+        lines = list(new.difference(crossing))
+        for low in range(0, len(lines), 4096):
+            self._learn_lines(lines[low : low + 4096])
+        self._learn_each(crossing)
+        self.known.update((x, self.known[x[:-1]] + self.marks[x[-1]]) for x in marked)
+        self.held += sum(map(len, new)) + sum(map(len, marked))
+
+    def _learn_each(self, pieces: list[str]) -> None:
+        self.known.update(zip(pieces, self._ids([" " + x for x in pieces]), strict=True))
+
+    def _learn_lines(self, pieces: list[str]) -> None:
+        """Pieces without white space, as the lines of one text: a line end before a space is a token by itself."""
+        joined = " " + "\n ".join(pieces)
+        if _WHITE.search("".join(pieces)) or "" in pieces or len(self.line) != self.dtype.itemsize:
+            return self._learn_each(pieces)
+        data, size = self._ids([joined])[0], self.dtype.itemsize
+        ends = np.flatnonzero(np.frombuffer(data, dtype=self.dtype) == np.frombuffer(self.line, dtype=self.dtype)[0])
+        if len(ends) != len(pieces) - 1:
+            return self._learn_each(pieces)
+        starts = (np.append(0, ends + 1) * size).tolist()
+        stops = (np.append(ends * size, len(data))).tolist()
+        self.known.update((piece, data[a:b]) for piece, a, b in zip(pieces, starts, stops, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of ``dtype``."""
         cut = []
         for text in texts:
-            # Pieces after the first have lost their space; a leading space is put back below.
             if text and not (text[0].isspace() or text[-1].isspace() or _DOUBLE.search(text)):
                 pieces = text.split(" ")
             else:
                 pieces = _CUT.split(text)
             cut.append((pieces[0], pieces[1:]))
-        spaced = set().union(*(rest for _, rest in cut))
-        heads = {head for head, _ in cut if head}
-        self._learn({" " + x for x in spaced} | heads)
-        of = {x: self.known[" " + x] for x in spaced}
-        return [(self.known[head] if head else b"") + b"".join(map(of.__getitem__, rest)) for head, rest in cut]
+        self._learn(set().union(*(rest for _, rest in cut)))
+        heads = iter(self._ids([head for head, _ in cut if head]))
+        return [(next(heads) if head else b"") + b"".join(map(self.known.__getitem__, rest)) for head, rest in cut]
 
 
 class _Writer:
