@@ -15,8 +15,9 @@ The lists are divided:
 
 A document needs only n - T + 1 of its lists for no partner to be missed, the same order of
 shingles (short lists before long ones) holding for all. The first round therefore lists only the
-shingles below a fixed share of the hash range. Documents with too few short lists there, and so
-with partners only among each other, go through a second round that lists all their shingles.
+shingles below a fixed share of the hash range, and further ones where these are fewer than needed.
+Documents with a long list among them and too few short lists below the share, and so with partners
+only among each other, go through a second round that lists all their shingles.
 Documents that are still short of lists consist of hot text for more than 1 - t; they keep their
 rarest long lists, up to the number needed. Such a list compares everybody with a few pivots and joins
 what is linked. Members that are then still outside their list's largest class are few; they become
@@ -313,17 +314,21 @@ class _Join:
         return merged.filter(F.col("kind") == _PAIR).select("a", "b", F.col("n").alias("times"))
 
     def long_lists(self, merged: DataFrame, listed: str) -> tuple[DataFrame, DataFrame]:
-        """The long lists; every record's lists and how many of them are long."""
+        """The long lists; every record's lists, how many of those listed are long, and how many of those posted."""
         long = merged.filter(F.col("kind") == _LONG_LIST).select(F.col("a").alias("shingle"), F.col("b").alias("record"), "listed", F.col("n").alias("length"))
-        skipped = long.groupBy("record").agg(F.sum("listed").alias("skipped"))
+        skipped = long.groupBy("record").agg(F.sum("listed").alias("skipped"), F.count("*").alias("long"))
         skipped = F.broadcast(skipped) if skipped.count() <= BROADCAST_IDS else skipped
         skips = self.records.select("record", "doc_id", "n", F.expr(listed).alias("listed")).join(skipped, "record", "left")
-        return long, self.work.save(skips.withColumn("skipped", F.coalesce("skipped", F.lit(0))), "skips")
+        return long, self.work.save(skips.withColumns({x: F.coalesce(x, F.lit(0)) for x in ("skipped", "long")}), "skips")
 
     def lacking(self, skips: DataFrame) -> DataFrame:
-        """Records with fewer short lists than they need, and how many long ones they must keep."""
+        """Records with fewer short lists than they need, and how many long ones they must keep.
+
+        A long list counts wherever it is in the hash range: a record that needs more lists than it has
+        in the lowest share posts some beyond it. Only a record whose posted lists are all short misses none.
+        """
         lacking = F.expr(f"n - (n * {self.percent} + 99) div 100 + 1 - (listed - skipped)")
-        return skips.filter("skipped > 0").select("record", "doc_id", lacking.alias("lacking"), F.expr("n - skipped").alias("private")).filter("lacking > 0")
+        return skips.filter("long > 0").select("record", "doc_id", lacking.alias("lacking"), F.expr("n - skipped").alias("private")).filter("lacking > 0")
 
     def reaching(self, pairs: DataFrame, skips: DataFrame) -> DataFrame:
         """The pairs whose sizes and occurrences allow the required overlap.

@@ -290,6 +290,18 @@ def test_join_against_all_pairs(documents, monkeypatch, n, long, block):
     assert rows_of(out, "doc_id", "n_shingles", "component_id") == classes(rows)
 
 
+def test_join_of_short_near_copies_in_large_groups(documents):
+    """The shared lists of a group are long, and in some groups none of them is in the lowest share of hashes."""
+    random.seed(31)
+    rows = []
+    for group in range(60):
+        passage = [f"g{group}w{k}" for k in range(12 + group % 8)]
+        rows += [(len(rows) + k, " ".join([*passage, f"own{group}x{k}"]), "a", "en") for k in range(40)]
+    random.shuffle(rows)
+    out = jaccard_join.similar_documents(documents(rows))
+    assert rows_of(out, "doc_id", "component_id") == sorted(((i, i - i % 40) for i, *_ in rows), key=repr)
+
+
 def test_join_without_broadcast(documents, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 0)
     rows = near_copies(120, seed=9)
