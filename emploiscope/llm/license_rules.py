@@ -44,7 +44,7 @@ SENTENCES = [
     ("bsd-liability", "in no event shall the copyright (?:holder|owner)s? or contributors be liable for any direct,? indirect ANY"),
     ("bsd-under", "(?:this (?:work|file|software|project|text) is )?(?:licensed|released) under the (?:new |simplified |2 clause |3 clause )?bsd license"),
     ("gpl-under", "(?:this (?:work|file|software|project|text) is )?(?:licensed|released) under the gnu general public license,?(?: version V)?(?: or later)?"),
-    ("gpl-redistribute", "(?:this program is free software )?you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version V of the license,? or at your option any later version"),
+    ("gpl-redistribute", "(?:this program is free software )?you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation,? either version V of the license,? or at your option any later version"),
     ("lgpl-under", "(?:this (?:work|file|software|project|text) is )?(?:licensed|released) under the gnu (?:lesser|library) general public license,?(?: version V)?(?: or later)?"),
     ("agpl-under", "(?:this (?:work|file|software|project|text) is )?(?:licensed|released) under the gnu affero general public license,?(?: version V)?(?: or later)?"),
     ("gpl-hope", "this program is distributed in the hope that it will be useful,? but without any warranty ANY"),
@@ -88,6 +88,9 @@ RULES = [
 # A sentence without one of these can't be a licence sentence.
 _TELLING = ("licen", "permission", "redistribut", "copyright", "warrant", "public domain", "as is", "spdx", "rights reserved", "in no event", "endorse")
 _SENTENCE = re.compile(r"(?<=[.!?])[\s\"')\]]+(?=[^\s])|\n\s*\n|\n(?=\s*(?:[-*•]|\d+[.)])\s)")
+# What a comment puts before each of its lines, and the ends of a block comment.
+_LEADER = re.compile(r"^[ \t]*(?P<mark>/\*+|\*+/|//+!?|\#+|--+|;+|%+|\*|<!--|-->)(?=[ \t\n]|$)", re.M)
+_CLOSING = re.compile(r"[ \t]*(?:\*+/|-->)[ \t]*$", re.M)
 _NOISE = re.compile(r"[^a-z0-9.,]+")
 _LICENCE_LIKE = re.compile(r"\b(?:licen[sc]e[ds]?|permission is|redistribut\w+|warrant\w+|public domain)\b")
 
@@ -150,13 +153,43 @@ def licences_of(identifiers: list[tuple[str, str]]) -> list[str]:
     return out
 
 
+def without_leaders(text: str) -> str:
+    """The text without the leaders of comments: a block's, and marks that consecutive lines share."""
+    if not _LEADER.search(text):
+        return text
+    lines = text.split("\n")
+    marks = [m["mark"] if (m := _LEADER.match(line)) else "" for line in lines]
+    block, run_end, wrapped = "", 0, False
+    out: list[str] = []
+    for at, (line, mark) in enumerate(zip(lines, marks, strict=True)):
+        if mark.startswith(("/*", "<!--")):
+            block = mark[0]
+        if mark == "*" and at >= run_end:
+            run_end = next((k for k in range(at, len(marks)) if marks[k] != "*"), len(marks))
+            wrapped = _wrapped(lines[at:run_end])
+        shared = mark in (marks[at - 1] if at else "", marks[at + 1] if at + 1 < len(marks) else "")
+        # Stars outside a block are a list's unless a line goes on from the one before.
+        leads = wrapped or block == "/" if mark == "*" else shared or mark.startswith(("/*", "*/", "<!--", "-->"))
+        body = _LEADER.sub("", line, count=1) if mark and leads else line
+        if block and ("*/" if block == "/" else "-->") in line:
+            body, block = _CLOSING.sub("", body), ""
+        out.append(body)
+    return "\n".join(out)
+
+
+def _wrapped(lines: list[str]) -> bool:
+    """Whether one of the starred lines begins in lower case after one that ends no sentence."""
+    body = [line.strip().lstrip("*").strip() for line in lines]
+    return any(a and a[-1] not in ".!?:;" and b[:1].islower() for a, b in zip(body, body[1:]))
+
+
 def scan_text(text: str) -> tuple[list[str], list[str]]:
     """Licences and identifiers (``name`` or ``name/detail``) of a whole text."""
     lowered = text.lower()
     if not any(x in lowered for x in _TELLING):
         return [], []
     found = []
-    for line in _SENTENCE.split(text):
+    for line in _SENTENCE.split(without_leaders(text)):
         hit = recognise(line) if line else None
         if hit and hit[0] == UNKNOWN and "\n" in line:
             # Other text without a full stop may stand in the lines around.

@@ -416,6 +416,36 @@ def test_licences():
     assert license_rules.licences_of([order[0], ("unknown", ""), *order[1:]]) == []
 
 
+def test_licence_headers_in_comments():
+    import textwrap
+
+    headers = {
+        "MIT": (
+            'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\n'
+            'The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n'
+            'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT.'
+        ),
+        "BSD-2-Clause": (
+            'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n'
+            '1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n'
+            '2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.\n\n'
+            'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING FITNESS, ARE DISCLAIMED.'
+        ),
+        "GPL-3": (
+            'This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\n'
+            'This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.'
+        ),
+    }
+    for name, text in headers.items():
+        lines = [x for part in text.split("\n") for x in textwrap.wrap(part, 66) or [""]]
+        assert license_rules.scan_text("\n".join(lines))[0] == [name]
+        for start, leader, end in (("/*\n", " * ", "\n */"), ("", " * ", ""), ("", "# ", ""), ("", "// ", ""), ("", "-- ", ""), ("/* ", "", " */")):
+            comment = start + "\n".join((leader + x).rstrip() for x in lines) + end + "\n\nint main() {}"
+            assert license_rules.scan_text(comment) == license_rules.scan_text(text), (name, leader)
+    listed = "/* x */ y\n* Licensed under the Apache License, Version 2.0\n* Released under the MIT License\n"
+    assert license_rules.scan_text(listed)[0] == ["Apache-2.0", "MIT"]
+
+
 def test_licence_table(documents, edge_rows):
     out = license_rules.scan_licenses(documents(edge_rows + [(20, "x\nReleased under the MIT License.", "a", "en")]))
     assert out.count() == len(edge_rows) + 1
