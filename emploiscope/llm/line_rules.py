@@ -99,6 +99,28 @@ def keep_documents(docs: DataFrame) -> DataFrame:
     return without(docs.withColumn("_row_key", _key()), rejected, "_row_key").drop("_row_key")
 
 
+def without_boilerplate(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with the lines above both limits taken out of ``text``.
+
+    Other lines, blank ones included, stay as they are and in their order; so does a text without such
+    lines. No row is dropped: what is left of a document may be empty.
+    """
+    work = Workspace(docs.sparkSession, "line-rules")
+    measured = work.save(_measures(docs), "measures")
+    removed = _removed(measured, work).groupBy("key").agg(F.collect_list("at").alias("_removed"))
+    removed = work.save(removed.withColumnRenamed("key", "_row_key"), "removed")
+    joined = docs.withColumn("_row_key", _key()).join(removed, "_row_key", "left")
+    joined = joined.withColumn("_lines", F.split(F.col("text").cast("string"), "\n", -1))
+    # Places are counted among the lines that are not blank. Arrays used inside a lambda are columns of
+    # their own, referenced more than once, so that no projection evaluates them again for each element.
+    places = F.sequence(F.lit(0), F.size("_lines") - 1)
+    filled = F.filter(places, lambda i: F.btrim(F.get("_lines", i), F.lit(WHITE)) != "")
+    joined = joined.withColumn("_filled", F.when(F.col("_removed").isNotNull(), filled))
+    gone = F.when(F.size("_filled") > 0, F.transform("_removed", lambda at: F.get("_filled", at)))
+    text = F.array_join(F.transform(F.array_except(places, gone), lambda i: F.get("_lines", i)), "\n")
+    return joined.withColumn("text", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(text)).select(docs.columns)
+
+
 def judge_documents(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs(doc_id, text, source)``.
 
@@ -116,14 +138,19 @@ def judge_documents(docs: DataFrame) -> DataFrame:
     return _judged(docs, Workspace(docs.sparkSession, "line-rules")).drop("key")
 
 
-def _judged(docs: DataFrame, work: Workspace) -> DataFrame:
-    measured = work.save(_measures(docs), "measures")
+def _removed(measured: DataFrame, work: Workspace) -> DataFrame:
+    """``key, at, words`` of every boilerplate line: its place among the lines of its document that are not blank."""
     over = _boilerplate(measured, work)
     if over.count() <= BROADCAST_LINES:
         over = F.broadcast(over)
     lines = measured.select("key", "host", F.posexplode("lines").alias("at", "line")).select("key", "host", "at", "line.hash", "line.words")
     # Repeated rows share a key and have equal lines, so each line of a key counts once.
-    removed = lines.join(over, ["host", "hash"]).groupBy("key", "at").agg(F.first("words").alias("words"))
+    return lines.join(over, ["host", "hash"]).groupBy("key", "at").agg(F.first("words").alias("words"))
+
+
+def _judged(docs: DataFrame, work: Workspace) -> DataFrame:
+    measured = work.save(_measures(docs), "measures")
+    removed = _removed(measured, work)
     out = measured.drop("lines").join(removed.groupBy("key").agg(F.sum("words").alias("removed")), "key", "left")
     out = out.withColumn("n_kept_words", F.col("n_words") - F.coalesce("removed", F.lit(0)))
     depleted = (F.col("n_kept_words") < MIN_WORDS) | (F.col("n_kept_words") * 100 < F.col("n_words") * MIN_KEPT_PERCENT)

@@ -86,6 +86,20 @@ def test_boilerplate_goes_and_copies_do_not_count(documents):
     assert found[100].kept and found[100].n_kept_words == 36  # thirty copies are one document
 
 
+def test_boilerplate_lines_leave_the_text(documents):
+    body = lambda i: " ".join(f"w{i}x{k}" for k in range(12))
+    rows = [(i, f"  Read   MORE here\n\n{body(i)} \n \nread more HERE\n{body(i + 500)}", "a", "en") for i in range(20)]
+    rows += [(20, "read more here", "a", "en"), (21, "read more here\nx", None, "en"), (22, None, "a", "en"), (3, *rows[3][1:])]
+    out = line_rules.without_boilerplate(documents(rows))
+    assert out.columns == documents(rows).columns
+    expected = [(i, f"\n{body(i)} \n \n{body(i + 500)}") for i in [*range(20), 3]]
+    expected += [(20, ""), (21, "read more here\nx"), (22, None)]
+    assert rows_of(out, "doc_id", "text") == sorted(expected, key=repr)
+    words = {r["doc_id"]: r["n_kept_words"] for r in line_rules.judge_documents(documents(rows)).collect()}
+    assert all(words[i] == len((t or "").split()) for i, t in expected)
+    assert line_rules.without_boilerplate(documents([])).count() == 0
+
+
 def test_line_rules_edges(documents, edge_rows):
     out = line_rules.judge_documents(documents(edge_rows))
     assert out.count() == len(edge_rows)
