@@ -21,10 +21,11 @@ MIN_LENGTH = 16
 TREES = 20
 DEPTH = 6
 SEED = 17
-# The fit sees at most so many findings of each label, and stems of at most so many documents.
+# The fit sees at most so many findings of each label.
 FINDINGS_PER_LABEL = 5000
-STEM_DOCUMENTS = 2000
-STEMS = 2000
+# Stems count as ordinary from so many documents and from one document in so many.
+STEM_DOCUMENTS = 5
+STEM_ONE_IN = 400
 STEM = 4
 THRESHOLD = 0.5
 
@@ -124,12 +125,16 @@ def with_features(df: DataFrame, stems: list[str]) -> DataFrame:
 
 
 def frequent_stems(docs: DataFrame) -> list[str]:
-    """The commonest letter stems in a bounded sample of documents; part of the fit."""
-    sample = docs.filter("text is not null").select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(STEM_DOCUMENTS).select("doc_id").distinct()
-    words = docs.join(F.broadcast(sample), "doc_id").select("doc_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{4,})"), F.lit(1))).alias("w"))
-    stem = F.explode(F.transform(F.sequence(F.lit(1), F.length("w") - (STEM - 1)), lambda i: F.substring("w", i, F.lit(STEM))))
-    counted = words.select("doc_id", stem.alias("stem")).groupBy("stem").agg(F.count("*").alias("n"))
-    return sorted(r["stem"] for r in counted.filter("n >= 5").orderBy(F.desc("n"), "stem").limit(STEMS).collect())
+    """The letter stems of ordinary words: those in enough of all documents, however often they occur in one.
+
+    There are at most 26 ** STEM (456,976) stems, so counts and list are bounded whatever the corpus.
+    """
+    texts = docs.filter("text is not null").select(F.lower(F.col("text").cast("string")).alias("text"))
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(f"([a-z]{{{STEM},}})"), F.lit(1)))
+    stems = F.transform(words, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - (STEM - 1)), lambda i: F.substring(w, i, F.lit(STEM))))
+    counted = texts.select(F.explode(F.array_distinct(F.flatten(stems))).alias("stem")).groupBy("stem").agg(F.count("*").alias("n"))
+    least = max(STEM_DOCUMENTS, -(-texts.count() // STEM_ONE_IN))
+    return sorted(r["stem"] for r in counted.filter(F.col("n") >= least).collect())
 
 
 def fit(labelled: DataFrame) -> RandomForestClassificationModel | None:

@@ -240,6 +240,14 @@ def test_secrets_found_and_words_left_alone(documents):
     assert len(out) > len(planted) + 300
 
 
+def test_stems_are_counted_over_all_documents(documents):
+    letters = "abcdefghijklmno"
+    common = ["".join(x) for x in itertools.product(letters, letters, letters, "z")]
+    rows = [(i, " ".join(common), "a", "en") for i in range(6)]
+    rows += [(10 + i, "zebra " * 50 if i == 0 else "zzzz" if i < 5 else "other yyyy", "b", "en") for i in range(30)]
+    assert secret_forest.frequent_stems(documents(rows)) == sorted([*common, "othe", "ther", "yyyy"])
+
+
 def test_secrets_edges(documents, edge_rows):
     assert secret_forest.scan_secrets(documents([])).count() == 0
     out = secret_forest.scan_secrets(documents(edge_rows + [(9, "password=b7db7aa4a5fcc78305", None, None)])).collect()
