@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, dom_boost, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, secret_forest, sql, temperature_mix
+from emploiscope.llm import arrow_tokens, decontaminate, dom_boost, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, secret_forest, source_divergence, sql, temperature_mix
 
 _shipped: set[str] = set()
 
@@ -105,6 +105,11 @@ def op10_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_tokens.document_digests(manifest)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the others of its language, and the terms it uses most above its language."""
+    return source_divergence.audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_rules": op1_line_rules,
     "op2_karmarkar_karp_shards": op2_karmarkar_karp_shards,
@@ -116,6 +121,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_unigram_language_id": op9_unigram_language_id,
     "op10_arrow_sequences": op10_arrow_sequences,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -123,4 +129,5 @@ ORACLES: dict[str, str] = {
     "op3_temperature_mix": sql.TEMPERATURE_MIX,
     "op5_ngram_jaccard_join": sql.JACCARD,
     "op8_benchmark_decontamination": sql.DECONTAMINATION,
+    "op11_source_divergence": sql.SOURCE_DIVERGENCE,
 }

@@ -157,3 +157,37 @@ SELECT doc_id, CASE WHEN key <> '' THEN substr(key, 2) END AS source, n_tokens,
        CAST(slot AS INTEGER) AS slot, exponent
 FROM used WHERE epoch = 0 OR (room > 0 AND so_far < room)
 """
+
+SOURCE_DIVERGENCE = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), terms AS (
+    SELECT id, lang, source, unnest(w) AS term FROM docs
+), kept AS (
+    SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM terms GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), langs AS (
+    SELECT lang, sum(total) AS n, count(*) AS v FROM kept GROUP BY lang
+), sums AS (
+    SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM terms JOIN kept USING (lang, term) GROUP BY lang, source, term
+), groups AS (
+    SELECT lang, source, coalesce(sum(s.n), 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN sums s USING (lang, source) GROUP BY lang, source
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n,
+           1 + 1000000000 * (coalesce(s.n, 0) + 1) // (g.n + langs.v) AS p,
+           1 + 1000000000 * (k.total + 1) // (langs.n + langs.v) AS q
+    FROM groups g JOIN langs USING (lang) JOIN kept k USING (lang) LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+), compared AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+    SELECT lang, source, 'pair' AS part, item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM pairs LEFT JOIN compared USING (lang, source, item)
+    UNION ALL
+    SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // q AS BIGINT) FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 200
+"""
