@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, dom_boost, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, secret_forest, source_divergence, sql, temperature_mix
+from emploiscope.llm import arrow_tokens, decontaminate, dom_boost, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, prefix_trie, secret_forest, source_divergence, sql, temperature_mix
 
 _shipped: set[str] = set()
 
@@ -110,6 +110,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_line_rules": op1_line_rules,
     "op2_karmarkar_karp_shards": op2_karmarkar_karp_shards,
@@ -122,6 +127,7 @@ QUERIES = {
     "op9_unigram_language_id": op9_unigram_language_id,
     "op10_arrow_sequences": op10_arrow_sequences,
     "op11_source_divergence": op11_source_divergence,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -130,4 +136,5 @@ ORACLES: dict[str, str] = {
     "op5_ngram_jaccard_join": sql.JACCARD,
     "op8_benchmark_decontamination": sql.DECONTAMINATION,
     "op11_source_divergence": sql.SOURCE_DIVERGENCE,
+    "op13_prefix_trie": sql.PREFIX_TRIE,
 }

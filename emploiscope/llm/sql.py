@@ -191,3 +191,43 @@ WITH docs AS (
 SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
 FROM found QUALIFY part = 'pair' OR rank <= 200
 """
+
+PREFIX_TRIE = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+    FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS t FROM turns GROUP BY conv_id
+), bits AS (
+    SELECT conv_id, list_transform(range(0, 8 * length(CAST(conv_id AS VARCHAR))),
+                                   lambda i: (ascii(substr(CAST(conv_id AS VARCHAR), CAST(i // 8 + 1 AS INTEGER), 1)) >> CAST(i % 8 AS INTEGER)) & 1) AS b
+    FROM lists
+), checked AS (
+    SELECT conv_id, xor(list_reduce(list_transform(b, lambda x: CAST(x AS BIGINT)),
+                                    lambda c, x: xor(c >> 1, CASE WHEN xor(c, x) & 1 = 1 THEN 3988292384 ELSE 0 END), 4294967295), 4294967295) % 4 AS h
+    FROM bits
+), rebuilt AS (
+    SELECT l.conv_id, list_concat(coalesce(head.t, [])[1:h], l.t[h + 1:]) AS t
+    FROM lists l JOIN checked USING (conv_id) LEFT JOIN lists head ON head.conv_id = l.conv_id - l.conv_id % 20
+), prefixes AS (
+    SELECT conv_id, CAST(d AS BIGINT) AS depth, md5(CAST(t[1:d] AS VARCHAR)) AS key, CASE WHEN d > 0 THEN md5(CAST(t[1:d - 1] AS VARCHAR)) END AS parent_key,
+           CASE WHEN d > 0 THEN len(regexp_extract_all(t[d].text, '[^\x20\x09-\x0D]+')) ELSE 0 END AS words, d = len(t) AS is_end
+    FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT depth, key, parent_key, words, min(conv_id) AS conv_id, count(*) AS n_convs,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE is_end), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, key, parent_key, words
+), children AS (
+    SELECT depth - 1 AS depth, parent_key AS key, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY depth, parent_key
+), above AS (
+    SELECT n.depth AS low, n.key AS low_key, p.depth AS depth, p.key AS key
+    FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+), totals AS (
+    SELECT a.depth, a.key, CAST(count(*) FILTER (WHERE c.n IS NULL) AS BIGINT) AS n_leaves, CAST(sum((n.n_convs - 1) * n.words) AS BIGINT) AS saved_tokens
+    FROM above a JOIN nodes n ON n.depth = a.low AND n.key = a.low_key LEFT JOIN children c ON c.depth = a.low AND c.key = a.low_key
+    GROUP BY a.depth, a.key
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM nodes n JOIN totals USING (depth, key) LEFT JOIN children c USING (depth, key) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.key = n.parent_key
+"""
