@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import emploiscope
-from emploiscope.llm import arrow_tokens, decontaminate, dom_boost, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, prefix_trie, secret_forest, source_divergence, sql, temperature_mix
+from emploiscope.llm import arrow_tokens, decontaminate, dom_boost, jaccard_join, karmarkar_karp, language_id, license_rules, line_rules, personal_data, prefix_trie, secret_forest, source_divergence, sql, temperature_mix
 
 _shipped: set[str] = set()
 
@@ -110,6 +110,14 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit_sources(table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the strict spans, and all spans."""
+    found = personal_data.find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [personal_data.counted("strict", kind).alias(f"n_{kind}") for kind in personal_data.KINDS]
+    digest = F.sha2(personal_data.listed("strict").cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), personal_data.listed("spans").alias("spans"), F.size("added").cast("bigint").alias("n_added"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of all rebuilt conversations."""
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
@@ -127,6 +135,7 @@ QUERIES = {
     "op9_unigram_language_id": op9_unigram_language_id,
     "op10_arrow_sequences": op10_arrow_sequences,
     "op11_source_divergence": op11_source_divergence,
+    "op12_personal_data": op12_personal_data,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
