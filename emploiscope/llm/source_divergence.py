@@ -29,9 +29,11 @@ MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
 # Distinct terms of one fit before rare ones leave; a term of a fit takes about 200 bytes on the driver.
-TERMS_PER_FIT = 1 << 20
+TERMS_PER_FIT = 1 << 19
 # Stored counts of one task of the pair evaluation.
 ENTRIES_PER_BLOCK = 1 << 20
+# Vector entries that a task sums up at once.
+ENTRIES_PER_SUM = 1 << 22
 # Terms of one hash in so many are listed to count the distinct ones.
 ONE_HASH_IN = 256
 SPREAD = 64
@@ -115,12 +117,47 @@ def count_vectors(docs: DataFrame, work: Workspace, terms_per_fit: int = TERMS_P
         yield model.transform(rows).drop("terms"), work.save(known.select("index", lang.alias("lang"), term.alias("term")), f"vocabulary-{part}")
 
 
+def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and the sum of each one's values."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[begins], np.add.reduceat(values[order], begins) if len(begins) else values
+
+
+@text.gives_back
+def _vector_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sparse vectors summed per language and source, as far as one task's rows go."""
+    held: list[tuple[pa.Table, np.ndarray]] = []
+    n = 0
+
+    def summed() -> pa.RecordBatch:
+        names = [pa.chunked_array([t.column(c) for t, _ in held]).combine_chunks().dictionary_encode() for c in ("lang", "source")]
+        lang, source = (x.indices.to_numpy().astype(np.int64) for x in names)
+        group = np.repeat(lang * len(names[1].dictionary) + source, np.concatenate([c for _, c in held]))
+        index, value = (np.concatenate([t.column(c).flatten().to_numpy() for t, _ in held]) for c in ("indices", "values"))
+        keys, total = _added(group << 32 | index, value.astype(np.int64))
+        group = keys >> 32
+        taken = [x.dictionary.take(pa.array(g)) for x, g in zip(names, (group // len(names[1].dictionary), group % len(names[1].dictionary)), strict=True)]
+        return pa.RecordBatch.from_arrays([*taken, pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(total)], names=["lang", "source", "index", "n"])
+
+    for batch in batches:
+        held.append((batch, pc.list_value_length(batch.column("indices")).to_numpy()))
+        n += int(held[-1][1].sum())
+        if n >= ENTRIES_PER_SUM:
+            yield summed()
+            held, n = [], 0
+    if n:
+        yield summed()
+
+
 def group_sums(docs: DataFrame, work: Workspace, terms_per_fit: int = TERMS_PER_FIT) -> tuple[DataFrame, DataFrame]:
     """``lang, source, term, n`` (occurrences, none where zero) and the vocabulary ``lang, term``."""
     sums = vocabulary = None
     for part, (vectors, known) in enumerate(count_vectors(docs, work, terms_per_fit)):
-        sparse = vectors.select("lang", "source", F.unwrap_udt("vector").alias("v")).select("lang", "source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-        summed = sparse.groupBy("lang", "source", F.col("e.indices").alias("index")).agg(F.sum(F.col("e.values").cast("bigint")).alias("n"))
+        sparse = vectors.select("lang", "source", F.unwrap_udt("vector").alias("v")).select("lang", "source", "v.indices", "v.values")
+        partly = sparse.mapInArrow(_vector_sums, "lang string, source string, index int, n bigint")
+        summed = partly.groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
         named = work.save(summed.join(known.select("index", "term"), "index").select("lang", "source", "term", "n"), f"sums-{part}")
         sums = named if sums is None else sums.union(named)
         vocabulary = known if vocabulary is None else vocabulary.union(known)
@@ -149,12 +186,6 @@ def _both(table: pa.Table) -> pa.Table:
     def f(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         return (x - y) ** 2 // y
 
-    def added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        unique, place = np.unique(keys, return_inverse=True)
-        out = np.zeros(len(unique), dtype=np.int64)
-        np.add.at(out, place, values)
-        return unique, out
-
     keys, values = [np.empty(0, dtype=np.int64)], [np.empty(0, dtype=np.int64)]
     first, distance = np.arange(n), 1
     while True:
@@ -164,10 +195,10 @@ def _both(table: pa.Table) -> pa.Table:
             break
         for a, b in ((first, first + distance), (first + distance, first)):
             gain = f(p[a], p[b]) - f(p[a], zero[b]) - f(zero[a], p[b]) + f(zero[a], zero[b])
-            for held, new in zip((keys, values), added(s[a] * width + s[b], gain), strict=True):
+            for held, new in zip((keys, values), _added(s[a] * width + s[b], gain), strict=True):
                 held.append(new)
         distance += 1
-    pairs, total = added(np.concatenate(keys), np.concatenate(values))
+    pairs, total = _added(np.concatenate(keys), np.concatenate(values))
     names = source.dictionary
     lang = pa.array([table.column("lang")[0].as_py()] * len(pairs), pa.string())
     return pa.table({"lang": lang, "source": names.take(pa.array(pairs // width)), "item": names.take(pa.array(pairs % width)), "value": pa.array(total)})
