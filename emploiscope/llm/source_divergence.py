@@ -1,14 +1,16 @@
 """How far the word use of sources lies apart, language by language, in exact whole numbers.
 
-Spark's CountVectorizer turns documents into sparse count vectors over the terms that enough
-documents of their language hold; the vectors are summed per language and source. From the sums
-every term gets a share in billionths, smoothed by one, and two sources are compared over all terms
-of the language: by closed forms where a source lacks a term, and term by term only where both have
-it. So work follows the stored counts, not sources times vocabulary.
-
-A vocabulary passes through the driver when it is fitted, so it is fitted in parts: a term's part is
-chosen by its hash, and the number of parts by a count of the distinct terms of all documents, so
-that a part has about ``TERMS_PER_FIT`` of them however large the corpus.
+Every document becomes an exact sparse count vector over the terms that enough documents of its
+language hold, as a count vectorizer with a least document frequency and no limit to its vocabulary
+gives it; the vectors are summed per language and source. From the sums every term gets a share in
+billionths, smoothed by one, and two sources are compared over all terms of the language: by closed
+forms where a source lacks a term, and term by term only where both have it. So work follows the
+stored counts, not sources times vocabulary.
+
+Vocabulary and sums are tables that no process ever holds whole (Spark's own CountVectorizer keeps
+the vocabulary on the driver and on every executor). The vectors of a task are summed in the task
+before anything is shuffled; rare terms leave when the documents of all tasks are counted, which
+gives the same sums as leaving them out of every vector.
 """
 
 from __future__ import annotations
@@ -17,8 +19,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,95 +28,17 @@ from emploiscope.llm.workspace import Workspace
 MIN_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-# Distinct terms of one fit before rare ones leave; a term of a fit takes about 200 bytes on the driver.
-TERMS_PER_FIT = 1 << 19
+# Summed vector entries that a task holds before it hands them on.
+ENTRIES_PER_SUM = 1 << 20
 # Stored counts of one task of the pair evaluation.
 ENTRIES_PER_BLOCK = 1 << 20
-# Vector entries that a task sums up at once.
-ENTRIES_PER_SUM = 1 << 22
-# Terms of one hash in so many are listed to count the distinct ones.
-ONE_HASH_IN = 256
 SPREAD = 64
-# Stands between language and term; no term holds it.
-MARK = "\0"
 
 # Terms are runs of ASCII letters and everything outside ASCII.
 LETTERS = np.zeros(256, dtype=bool)
 LETTERS[0x41:0x5B] = LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
 
 
-def _found(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, text.Words, np.ndarray, np.ndarray]]:
-    """Per block: its rows, lower-case bytes, words, the row of every word, and a hash of language and word."""
-    for low, high, data, offsets in text.blocks(batch.column("text")):
-        rows = batch.slice(low, high - low)
-        words = text.words(data, offsets, LETTERS)
-        row = np.repeat(np.arange(high - low), np.diff(words.first))
-        _, _, names, ends = next(text.blocks(rows.column("lang"), size=1 << 62))
-        one_each = text.words(names, ends, np.ones(256, dtype=bool), lower=False)
-        langs = np.zeros(high - low, dtype=np.uint64)
-        langs[np.diff(one_each.first) > 0] = one_each.hashes
-        yield rows, text.LOWER[data], words, row, text.mix(words.hashes + text.mix(langs)[row])
-
-
-@text.gives_back
-def _some_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for *_, hashes in _found(batch):
-            some = np.unique(hashes[hashes % text.U(ONE_HASH_IN) == 0])
-            yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64))], names=["hash"])
-
-
-def _term_lists(parts: int):
-    @text.gives_back
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, lower, words, row, hashes in _found(batch):
-                part = (hashes // text.U(ONE_HASH_IN) % text.U(parts)).astype(np.int64)
-                order = np.argsort(part * rows.num_rows + row, kind="stable")
-                lists = part[order] * rows.num_rows + row[order]
-                begins = np.flatnonzero(np.diff(lists, prepend=-1))
-                inside = np.zeros(len(lower) + 1, dtype=np.int64)
-                inside[words.starts] += 1
-                inside[words.ends] -= 1
-                spans = np.append(0, np.cumsum(words.ends - words.starts))
-                buffers = [None, pa.py_buffer(spans), pa.py_buffer(lower[np.cumsum(inside[:-1]) > 0])]
-                terms = pa.Array.from_buffers(pa.large_string(), len(row), buffers).take(pa.array(order))
-                terms = pc.binary_join_element_wise(rows.column("lang").cast(pa.large_string()).take(pa.array(row[order])), terms, pa.scalar(MARK, pa.large_string()))
-                at = pa.array(lists[begins] % rows.num_rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("lang").take(at),
-                        rows.column("source").take(at),
-                        pa.array((lists[begins] // rows.num_rows).astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(np.append(begins, len(lists)).astype(np.int32)), terms.cast(pa.string())),
-                    ],
-                    names=["lang", "source", "part", "terms"],
-                )
-
-    return run
-
-
-def count_vectors(docs: DataFrame, work: Workspace, terms_per_fit: int = TERMS_PER_FIT) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """Per part of the vocabulary: ``lang, source, vector`` of the documents with terms in it, and ``index, lang, term``.
-
-    ``docs`` has non-null text columns ``lang, source, text``. Terms that fewer than
-    ``MIN_DOCUMENTS`` rows of their language hold have no index.
-    """
-    hashes = docs.mapInArrow(_some_hashes, "hash bigint").distinct().count()
-    parts = max(1, -(-hashes * ONE_HASH_IN // terms_per_fit))
-    lists = work.save(docs.mapInArrow(_term_lists(parts), "lang string, source string, part int, terms array<string>"), "terms", "part")
-    # A fit fails without any term: the mark alone, in enough rows, is one. No document holds it.
-    marks = docs.sparkSession.range(0, MIN_DOCUMENTS, 1, 1).select(F.array(F.lit(MARK)).alias("terms"))
-    for part in range(parts):
-        rows = lists.filter(F.col("part") == part).drop("part")
-        model = CountVectorizer(inputCol="terms", outputCol="vector", minDF=MIN_DOCUMENTS, vocabSize=2**31 - 1).fit(rows.select("terms").union(marks))
-        known = pa.table({"index": pa.array(range(len(model.vocabulary)), pa.int32()), "word": pa.array(model.vocabulary, pa.string())})
-        known = docs.sparkSession.createDataFrame(known).filter(F.col("word") != MARK)
-        term = F.substring_index("word", MARK, -1)
-        lang = F.substring("word", F.lit(1), F.length("word") - F.length(term) - 1)
-        yield model.transform(rows).drop("terms"), work.save(known.select("index", lang.alias("lang"), term.alias("term")), f"vocabulary-{part}")
-
-
 def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys and the sum of each one's values."""
     order = np.argsort(keys, kind="stable")
@@ -125,43 +47,81 @@ def _added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[begins], np.add.reduceat(values[order], begins) if len(begins) else values
 
 
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts by ``keys``, the last one first, and where in it each distinct combination begins."""
+    order = np.lexsort(keys)
+    new = np.zeros(len(order), dtype=bool)
+    new[:1] = True
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    return order, np.flatnonzero(new)
+
+
+def _strings(lower: np.ndarray, words: text.Words, chosen: np.ndarray) -> pa.Array:
+    """The words numbered ``chosen``."""
+    inside = np.zeros(len(lower) + 1, dtype=np.int64)
+    inside[words.starts] += 1
+    inside[words.ends] -= 1
+    spans = np.append(0, np.cumsum(words.ends - words.starts))
+    buffers = [None, pa.py_buffer(spans), pa.py_buffer(lower[np.cumsum(inside[:-1]) > 0])]
+    return pa.Array.from_buffers(pa.large_string(), len(words.starts), buffers).take(pa.array(chosen))
+
+
+def document_vectors(words: text.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse count vectors of a block's documents: document, term hash, count, and a word that is the term."""
+    row = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
+    order, begins = _runs(words.hashes, row)
+    count = np.diff(np.append(begins, len(order)))
+    return row[order[begins]], words.hashes[order[begins]], count, order[begins]
+
+
 @text.gives_back
 def _vector_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sparse vectors summed per language and source, as far as one task's rows go."""
-    held: list[tuple[pa.Table, np.ndarray]] = []
-    n = 0
+    """The vectors of a task's documents summed per language and source: occurrences and documents of every term."""
+    groups: dict[tuple[str, str], int] = {}
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]] = []
 
     def summed() -> pa.RecordBatch:
-        names = [pa.chunked_array([t.column(c) for t, _ in held]).combine_chunks().dictionary_encode() for c in ("lang", "source")]
-        lang, source = (x.indices.to_numpy().astype(np.int64) for x in names)
-        group = np.repeat(lang * len(names[1].dictionary) + source, np.concatenate([c for _, c in held]))
-        index, value = (np.concatenate([t.column(c).flatten().to_numpy() for t, _ in held]) for c in ("indices", "values"))
-        keys, total = _added(group << 32 | index, value.astype(np.int64))
-        group = keys >> 32
-        taken = [x.dictionary.take(pa.array(g)) for x, g in zip(names, (group // len(names[1].dictionary), group % len(names[1].dictionary)), strict=True)]
-        return pa.RecordBatch.from_arrays([*taken, pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(total)], names=["lang", "source", "index", "n"])
-
+        group, hashes, n, df = (np.concatenate([h[k] for h in held]) for k in range(4))
+        order, begins = _runs(hashes, group)
+        names = list(groups)
+        lang, source = (pa.array([x[k] for x in names]).take(pa.array(group[order[begins]])) for k in (0, 1))
+        term = pa.concat_arrays([h[4] for h in held]).take(pa.array(order[begins])).cast(pa.string())
+        sums = [pa.array(np.add.reduceat(x[order], begins)) for x in (n, df)]
+        return pa.RecordBatch.from_arrays([lang, source, term, *sums], names=["lang", "source", "term", "n", "df"])
+
+    entries = 0
     for batch in batches:
-        held.append((batch, pc.list_value_length(batch.column("indices")).to_numpy()))
-        n += int(held[-1][1].sum())
-        if n >= ENTRIES_PER_SUM:
-            yield summed()
-            held, n = [], 0
-    if n:
+        for low, high, data, offsets in text.blocks(batch.column("text")):
+            rows = batch.slice(low, high - low)
+            code = np.array([groups.setdefault(x, len(groups)) for x in zip(rows.column("lang").to_pylist(), rows.column("source").to_pylist(), strict=True)])
+            words = text.words(data, offsets, LETTERS)
+            row, hashes, count, word = document_vectors(words)
+            if not len(row):
+                continue
+            order, begins = _runs(hashes, code[row])
+            n, df = np.add.reduceat(count[order], begins), np.diff(np.append(begins, len(order)))
+            first = order[begins]
+            held.append((code[row[first]], hashes[first], n, df, _strings(text.LOWER[data], words, word[first])))
+            entries += len(begins)
+            if entries >= ENTRIES_PER_SUM:
+                yield summed()
+                held, entries = [], 0
+    if held:
         yield summed()
 
 
-def group_sums(docs: DataFrame, work: Workspace, terms_per_fit: int = TERMS_PER_FIT) -> tuple[DataFrame, DataFrame]:
-    """``lang, source, term, n`` (occurrences, none where zero) and the vocabulary ``lang, term``."""
-    sums = vocabulary = None
-    for part, (vectors, known) in enumerate(count_vectors(docs, work, terms_per_fit)):
-        sparse = vectors.select("lang", "source", F.unwrap_udt("vector").alias("v")).select("lang", "source", "v.indices", "v.values")
-        partly = sparse.mapInArrow(_vector_sums, "lang string, source string, index int, n bigint")
-        summed = partly.groupBy("lang", "source", "index").agg(F.sum("n").alias("n"))
-        named = work.save(summed.join(known.select("index", "term"), "index").select("lang", "source", "term", "n"), f"sums-{part}")
-        sums = named if sums is None else sums.union(named)
-        vocabulary = known if vocabulary is None else vocabulary.union(known)
-    return sums, vocabulary.select("lang", "term")
+def group_sums(docs: DataFrame) -> DataFrame:
+    """``lang, source, term, n, total``: occurrences in the source and the language, none where zero in the source.
+
+    ``docs`` has non-null text columns ``lang, source, text``. Terms that fewer than
+    ``MIN_DOCUMENTS`` rows of their language hold are left out.
+    """
+    partly = docs.mapInArrow(_vector_sums, "lang string, source string, term string, n bigint, df bigint")
+    sums = partly.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+    of_lang = Window.partitionBy("lang", "term")
+    sums = sums.select("lang", "source", "term", "n", F.sum("n").over(of_lang).alias("total"), F.sum("df").over(of_lang).alias("documents"))
+    return sums.filter(F.col("documents") >= MIN_DOCUMENTS).drop("documents")
 
 
 def share(n: str, total: str) -> F.Column:
@@ -240,7 +200,7 @@ def leading_terms(entries: DataFrame, top: int = TOP_TERMS) -> DataFrame:
     return more.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*order))).filter(F.col("rank") <= top)
 
 
-def audit_sources(docs: DataFrame, terms_per_fit: int = TERMS_PER_FIT, entries_per_block: int = ENTRIES_PER_BLOCK) -> DataFrame:
+def audit_sources(docs: DataFrame, entries_per_block: int = ENTRIES_PER_BLOCK) -> DataFrame:
     """``lang, source, part, item, value, rank`` over ``docs(text, lang, source)``.
 
     Part ``pair`` has every other source of the same language, part ``term`` the ``TOP_TERMS`` terms
@@ -252,14 +212,16 @@ def audit_sources(docs: DataFrame, terms_per_fit: int = TERMS_PER_FIT, entries_p
     """
     work = Workspace(docs.sparkSession, "source-divergence")
     docs = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    sums, vocabulary = group_sums(docs, work, terms_per_fit)
-    of_lang = sums.groupBy("lang").agg(F.sum("n").alias("lang_n"), F.ceil(F.count("*") / entries_per_block).alias("blocks"))
-    of_group = sums.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
-    groups = docs.select("lang", "source").distinct().join(of_group, ["lang", "source"], "left").join(of_lang, "lang", "left")
-    groups = groups.join(vocabulary.groupBy("lang").agg(F.count("*").alias("v")), "lang", "left").fillna(0, ["group_n", "lang_n", "blocks", "v"])
+    sums = work.save(group_sums(docs), "sums")
+    of_group = sums.groupBy("lang", "source").agg(F.sum("n").alias("group_n"), F.count("*").alias("entries"))
+    # Every kept term of a language is in one of its sources: the vocabulary is the distinct terms.
+    vocabulary = sums.groupBy("lang", "term").agg(F.first("total").alias("total")).groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
+    blocks = of_group.groupBy("lang").agg(F.ceil(F.sum("entries") / entries_per_block).alias("blocks"))
+    groups = docs.select("lang", "source").distinct().join(of_group.drop("entries"), ["lang", "source"], "left")
+    groups = groups.join(vocabulary, "lang", "left").join(blocks, "lang", "left").fillna(0, ["group_n", "lang_n", "blocks", "v"])
     groups = groups.withColumn("zero", F.when(F.col("v") > 0, share("0", "(group_n + v)")))
     groups = work.save(groups, "groups")
-    entries = sums.withColumn("total", F.sum("n").over(Window.partitionBy("lang", "term"))).join(groups, ["lang", "source"])
+    entries = sums.join(groups, ["lang", "source"])
     entries = entries.select("lang", "source", "term", "zero", "blocks", share("n", "(group_n + v)").alias("p"), share("total", "(lang_n + v)").alias("q"))
     entries = work.save(entries, "entries")
     ranked = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), F.col("item"))
