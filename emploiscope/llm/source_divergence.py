@@ -31,7 +31,7 @@ SCALE = 1_000_000_000
 # Summed vector entries that a task holds before it hands them on.
 ENTRIES_PER_SUM = 1 << 20
 # Stored counts of one task of the pair evaluation.
-ENTRIES_PER_BLOCK = 1 << 20
+ENTRIES_PER_BLOCK = 1 << 15
 SPREAD = 64
 
 # Terms are runs of ASCII letters and everything outside ASCII.
