@@ -919,6 +919,43 @@ def load_france_travail(spark, sf):
     )
 
 
+@query(
+    "load_france_travail_lines",
+    f"""
+SELECT id, intitule, {inputs.RUN_DATE_SQL} AS _ingestion_date
+FROM france_travail QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id DESC) = 1""",
+)
+def load_france_travail_lines(spark, sf):
+    """Files without a fetch order beside the offer: the last line of an id is kept."""
+    ordered = inputs.france_travail(spark, sf).drop("_ingestion_date").orderBy("event_id").drop("event_id")
+    path = _landed(spark, ordered, "france_travail_lines")
+    table = _raw(
+        spark,
+        "france_travail_lines",
+        lambda name, where: landing.load_france_travail(spark, path, RUN_DATE, name, location=where),
+    )
+    return table.select("id", "intitule", "_ingestion_date")
+
+
+@query(
+    "b2_run_again",
+    """
+SELECT _ingestion_date, count(*) AS n, CAST(2 AS BIGINT) AS finished
+FROM orders, (SELECT unnest([DATE '2026-03-13', DATE '2026-03-20']) AS _ingestion_date) GROUP BY 1""",
+)
+def b2_run_again(spark, sf):
+    """Two daily runs, the second one started twice: one copy of each."""
+
+    def run(name, where):
+        for run_date in (datetime.date(2026, 3, 13), RUN_DATE, RUN_DATE):
+            sink.load_run(sink.stamp(_orders(spark, sf), run_date), name, run_date, location=where)
+        finished.append(len(sink.finished_runs(spark, name)))
+
+    finished: list[int] = []
+    table = _raw(spark, "run_again", run)
+    return table.groupBy("_ingestion_date").agg(F.count("*").alias("n")).withColumn("finished", F.lit(finished[0]).cast("bigint"))
+
+
 @query(
     "load_geo",
     f"""

@@ -36,31 +36,19 @@ def int_offres_enrichies(adzuna: DataFrame, france_travail: DataFrame, communes:
     postal code. Adzuna offers carry no code and are placed by folded département name. An offer
     that cannot be placed is kept with NULL names.
     """
+    # One pass over the offers: a row has a commune or a département to look up, never both.
     coded = france_travail.filter("is_metier_data").select(
         *_SHARED,
         city_commune(F.col("code_commune")).alias("code_commune"),
         F.when(F.col("code_commune").isNull(), _departement_code()).alias("_departement"),
     )
-    by_code = add_names(
-        coded.filter("code_commune is not null").drop("_departement"),
-        communes,
-        F.col("code_commune"),
-        "code",
-        {
-            "nom_commune": "nom",
-            "code_departement": "code_departement",
-            "nom_departement": "nom_departement",
-            "code_region": "code_region",
-            "nom_region": "nom_region",
-        },
+    placed = ["code_departement", "nom_departement", "code_region", "nom_region"]
+    named = add_names(coded, communes, F.col("code_commune"), "code", {"nom_commune": "nom", **{name: name for name in placed}})
+    fallback = {f"_{name}": source for name, source in zip(placed, ["code", "nom", "code_region", "nom_region"], strict=True)}
+    named = add_names(named, departements, F.col("_departement"), "code", fallback)
+    by_code = named.select(
+        *_SHARED, "code_commune", "nom_commune", *(F.when(F.col("code_commune").isNull(), F.col(f"_{name}")).otherwise(F.col(name)).alias(name) for name in placed)
     )
-    by_departement = add_names(
-        coded.filter("code_commune is null"),
-        departements,
-        F.col("_departement"),
-        "code",
-        {"code_departement": "code", "nom_departement": "nom", "code_region": "code_region", "nom_region": "nom_region"},
-    ).drop("_departement")
     names = unique_lookup(departements, name_key(F.col("nom")), ["code", "nom", "code_region", "nom_region"])
     by_name = add_names(
         adzuna.filter("is_metier_data").select(*_SHARED, name_key(F.col("departement_nom")).alias("_place")),
@@ -69,7 +57,7 @@ def int_offres_enrichies(adzuna: DataFrame, france_travail: DataFrame, communes:
         "_key",
         {"code_departement": "code", "nom_departement": "nom", "code_region": "code_region", "nom_region": "nom_region"},
     ).drop("_place")
-    return by_code.unionByName(by_departement, allowMissingColumns=True).unionByName(by_name, allowMissingColumns=True)
+    return by_code.unionByName(by_name, allowMissingColumns=True)
 
 
 def _departement_code() -> Column:

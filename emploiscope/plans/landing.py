@@ -84,15 +84,20 @@ def adzuna_rows(offers: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return flat.select(*(name for name in schemas.ADZUNA.fieldNames() if name in flat.columns))
 
 
-def france_travail_rows(offers: DataFrame, sequence: str) -> DataFrame:
-    """Every landed offer, the last occurrence of an id winning in fetch order.
+def with_line_order(lines: DataFrame, name: str) -> DataFrame:
+    """``lines``, scanned from files and not yet shuffled, with the place of each line as column ``name``.
 
-    A row without ``sequence`` has no place in that order and fails the load. Equal places go to
-    the larger hash of the row.
+    Places compare as the lines stand: by file, by block of the file, and within a block by the order
+    of reading, which is the order of the lines as one task reads a block from front to back. So the
+    number of blocks and the task that gets one make no difference. Files follow each other by path.
     """
-    known = F.when(F.col(sequence).isNotNull(), F.col(sequence)).otherwise(F.raise_error(F.lit(f"An offer has no {sequence}")).cast("bigint"))
-    hashed = offers.withColumn(sequence, known).withColumn("_hash", F.xxhash64(*offers.columns))
-    return last_wins(hashed, "id", sequence, ["_hash"]).drop("_hash")
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    return lines.select("*", place.alias(name))
+
+
+def france_travail_rows(offers: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Every landed offer, the last occurrence of an id winning by the columns ``order``, nulls coming first."""
+    return last_wins(offers, "id", order[0], order[1:]).drop(*order)
 
 
 def urssaf_effectifs_rows(wide: DataFrame) -> DataFrame:
@@ -147,9 +152,12 @@ def bmo_columns(renamed: DataFrame) -> DataFrame:
 
 
 def load_adzuna(spark: SparkSession, path: str, run_date: datetime.date, table: str = "raw.adzuna", **target) -> None:
-    """Append one day's offers to the date-partitioned raw table; an empty file is loaded too."""
+    """Append one day's offers to the date-partitioned raw table; an empty file is loaded too.
+
+    Loading a date twice appends twice, unless ``once=True`` says that a date is one run.
+    """
     rows = adzuna_rows(scan_json_text(spark, path, ADZUNA_FIELDS))
-    _append(sink.stamp(rows, run_date, row_hash=True), table, **target)
+    _append(sink.stamp(rows, run_date, row_hash=True), table, run_date, **target)
 
 
 def load_france_travail(
@@ -157,18 +165,24 @@ def load_france_travail(
 ) -> None:
     """Append one day's offers, every one of them, deduplicated, to the date-partitioned raw table.
 
-    Landed lines carry the fetch order (``sequence``) beside the offer.
+    Lines stand in fetch order. Where they carry it beside the offer (``sequence``), it goes before the
+    place in the file; a line without it comes before those with it.
     """
     schema = schemas.record(
         **{f.name: f.dataType for f in schemas.FRANCE_TRAVAIL if f.name != sink.INGESTION_DATE},
         sequence=schemas.LONG,
     )
-    rows = france_travail_rows(scan_json(spark, path, schema), "sequence").drop("sequence")
-    _append(sink.stamp(rows, run_date, row_hash=True), table, **target)
+    offers = with_line_order(scan_json(spark, path, schema), "_place")
+    rows = france_travail_rows(offers, ["sequence", "_place"])
+    _append(sink.stamp(rows, run_date, row_hash=True), table, run_date, **target)
 
 
-def _append(rows: DataFrame, table: str, **target) -> None:
-    sink.load_table(rows, table, "WRITE_APPEND", partition_by=[sink.INGESTION_DATE], **target)
+def _append(rows: DataFrame, table: str, run_date: datetime.date, once: bool = False, **target) -> None:
+    """Append, or with ``once`` replace what an earlier attempt of the same run date wrote."""
+    if once:
+        sink.load_run(rows, table, run_date, **target)
+    else:
+        sink.load_table(rows, table, "WRITE_APPEND", partition_by=[sink.INGESTION_DATE], **target)
 
 
 def load_geo(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -141,38 +143,142 @@ def load_table(
     if layer:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     if disposition == "WRITE_TRUNCATE":
-        path = location or f"{spark.catalog.getDatabase(layer or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}"
-        if not _replace(writer, spark, path, skip_if_empty):
-            return False
-        _point_table(spark, table, path, df, partition_by)
-        return True
+        base = location or f"{spark.catalog.getDatabase(layer or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}"
+        return _replace_table(writer, df, table, base.rstrip("/"), partition_by, skip_if_empty)
     if skip_if_empty and df.isEmpty():
         return False
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table)
+    with _partitions_by_listing(spark):
+        known = spark.catalog.tableExists(table)
+        (writer.option("path", location) if location and not known else writer).saveAsTable(table)
     return True
 
 
+@contextlib.contextmanager
+def _partitions_by_listing(spark: SparkSession) -> Iterator[None]:
+    """Tables made inside find their partitions in their location, so that a change of location is all a replace needs."""
+    key = "spark.sql.hive.manageFilesourcePartitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _details(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def _bare(path: str) -> str:
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    """The folder that ``table`` reads now."""
+    return _bare(_details(spark, table)["Location"])
+
+
+def _replace_table(
+    writer: DataFrameWriter, df: DataFrame, table: str, base: str, partition_by: Sequence[str], skip_if_empty: bool
+) -> bool:
+    """Write a new version folder under ``base`` (hidden from who reads ``base`` itself), then let the table read it: one change in the catalog.
+
+    Until then readers see the old rows, from then on the new ones. Nothing is renamed or copied.
+    The version before stays until the next replace, for readers that have begun; older ones go.
+    """
+    spark = df.sparkSession
+    version = f"{base}/_version-{uuid.uuid4().hex}"
+    files, folder = _filesystem(spark, version)
+    before = table_location(spark, table) if spark.catalog.tableExists(table) else None
+    try:
+        writer.save(version)
+        if skip_if_empty and spark.read.schema(df.schema).parquet(version).isEmpty():
+            files.delete(folder, True)
+            return False
+        _point_table(spark, table, version, df, partition_by)
+    except BaseException:
+        if not spark.catalog.tableExists(table) or table_location(spark, table) != _bare(version):
+            files.delete(folder, True)
+        raise
+    _forget_versions(spark, base, {_bare(version), before})
+    return True
+
+
+def _forget_versions(spark: SparkSession, base: str, kept: set[str | None]) -> None:
+    """Delete what is under ``base`` but for the folders ``kept``; nothing while ``base`` itself is one of them."""
+    if _bare(base) in kept:
+        return
+    files, here = _filesystem(spark, base)
+    for child in files.listStatus(here):
+        if _bare(child.getPath().toString()) not in kept:
+            files.delete(child.getPath(), True)
+
+
 def _point_table(spark: SparkSession, table: str, path: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-    """Let ``table`` read the files of ``path``, which are complete."""
+    """Let ``table`` read the complete files of ``path``.
+
+    A table of the same columns changes its location in one step. One whose columns differ, or whose
+    partitions are listed in the catalog (made before this library did otherwise), is made anew.
+    """
     if spark.catalog.tableExists(table):
-        known = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
-        same_place = known.get("Location", "").removeprefix("file:").rstrip("/") == path.removeprefix("file:").rstrip("/")
+        known = _details(spark, table)
         old = [(f.name, f.dataType) for f in spark.table(table).schema]
         order = [f for f in df.schema if f.name not in partition_by] + [f for f in df.schema if f.name in partition_by]
-        if same_place and old == [(f.name, f.dataType) for f in order] and not partition_by:
+        if old == [(f.name, f.dataType) for f in order] and known.get("Partition Provider") != "Catalog":
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
             spark.catalog.refreshTable(table)
             return
-        if known.get("Type") == "MANAGED" and same_place:
-            # Dropping it would take the new files along.
-            aside = f"{path}-{uuid.uuid4().hex}"
-            _swap(spark, path, aside)
-            path = aside
+        if known.get("Type") == "MANAGED":
+            # Dropping it takes its folder along: an empty one.
+            empty = f"{path}.dropped"
+            files, folder = _filesystem(spark, empty)
+            files.mkdirs(folder)
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{empty}'")
         spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
-    if partition_by:
+    with _partitions_by_listing(spark):
+        parts = f"PARTITIONED BY ({', '.join(f'`{name}`' for name in partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {table} ({df._jdf.schema().toDDL()}) USING parquet {parts} LOCATION '{path}'")
+
+
+def load_run(
+    df: DataFrame, table: str, run_date: datetime.date, partition_by: Sequence[str] = (INGESTION_DATE,), location: str | None = None
+) -> int:
+    """Append one day's run so that running it again replaces what it wrote before; returns its rows.
+
+    The run's own date is overwritten and other dates are not touched; a run without rows leaves its
+    date without rows. A file ``_runs/<date>`` beside the partitions records the rows of the run when
+    it is complete: a date without one is unfinished, and running it again mends it.
+    """
+    spark = df.sparkSession
+    if partition_by[0] != INGESTION_DATE or len(partition_by) != 1:
+        raise ValueError(f"A run is appended to a table partitioned by {INGESTION_DATE}")
+    if not spark.catalog.tableExists(table):
+        load_table(df.limit(0), table, "WRITE_APPEND", partition_by, location=location)
+    here = _details(spark, table)["Location"]
+    files, record = _filesystem(spark, f"{here}/_runs/{run_date.isoformat()}")
+    files.delete(record, False)
+    counted = Observation()
+    columns = spark.table(table).columns
+    rows = df.filter(F.col(INGESTION_DATE) == F.lit(run_date)).select(*columns).observe(counted, F.count("*").alias("rows"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(here)
+    n = int(counted.get["rows"])
+    if n == 0:
+        files.delete(_filesystem(spark, f"{here}/{INGESTION_DATE}={run_date.isoformat()}")[1], True)
+    out = files.create(record, True)
+    out.write(bytearray(str(n), "ascii"))
+    out.close()
+    if _details(spark, table).get("Partition Provider") == "Catalog":
         spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return n
+
+
+def finished_runs(spark: SparkSession, table: str) -> dict[str, int]:
+    """The recorded runs of ``table``: date and rows."""
+    files, folder = _filesystem(spark, f"{_details(spark, table)['Location']}/_runs")
+    if not files.exists(folder):
+        return {}
+    return {s.getPath().getName(): int(bytes(files.open(s.getPath()).readAllBytes())) for s in files.listStatus(folder)}
 
 
 def load_file_to_table(

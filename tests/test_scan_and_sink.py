@@ -294,10 +294,101 @@ def test_load_france_travail(spark, tmp_path):
     assert table.drop("_row_hash").schema.simpleString() == schemas.FRANCE_TRAVAIL.simpleString()
     loaded = sorted((r["id"], r["intitule"]) for r in table.collect())
     assert loaded[:2] == [("A", "v2"), ("B", "Y")] and len(loaded) == 1502
-    unordered = write_lines(tmp_path / "none.jsonl", {"id": "A", "intitule": "v1"})
-    with pytest.raises(PySparkException, match="An offer has no sequence"):
-        landing.load_france_travail(spark, unordered, DAY, "raw_t3.ft", location=str(tmp_path / "ft"))
-    assert spark.table("raw_t3.ft").count() == 1502
+def test_load_france_travail_in_line_order(spark, tmp_path):
+    """Lines without a fetch order, as they are landed: the last line of an id wins, however the file is split."""
+    lines = [{"id": f"o{i % 400}", "intitule": f"fetch {i}", "description": "x" * 40} for i in range(3000)]
+    path = write_lines(tmp_path / "ft.jsonl", *lines)
+    last = {line["id"]: line["intitule"] for line in lines}
+    bytes_before, open_before = (spark.conf.get(f"spark.sql.files.{k}") for k in ("maxPartitionBytes", "openCostInBytes"))
+    try:
+        for n, size in enumerate(("1g", "7000", "911")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            landing.load_france_travail(spark, path, DAY, f"raw_t3.lines{n}", location=str(tmp_path / f"lines{n}"))
+            assert {r["id"]: r["intitule"] for r in spark.table(f"raw_t3.lines{n}").collect()} == last
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", bytes_before)
+        spark.conf.set("spark.sql.files.openCostInBytes", open_before)
+    folder = tmp_path / "two"
+    folder.mkdir()
+    write_lines(folder / "a.jsonl", {"id": "A", "intitule": "a1"}, {"id": "B", "intitule": "b1"}, {"id": "B", "intitule": "b2"})
+    write_lines(folder / "b.jsonl", {"id": "A", "intitule": "a2"}, {"id": "B", "intitule": "early", "sequence": None})
+    landing.load_france_travail(spark, str(folder / "*.jsonl"), DAY, "raw_t3.two", location=str(tmp_path / "two_table"))
+    assert sorted((r["id"], r["intitule"]) for r in spark.table("raw_t3.two").collect()) == [("A", "a2"), ("B", "early")]
+
+
+def test_a_run_again_replaces_itself(spark, tmp_path):
+    where = str(tmp_path / "raw_run")
+    for rows, day in ((5, DAY), (3, datetime.date(2026, 3, 27)), (4, DAY)):
+        assert sink.load_run(sink.stamp(spark.range(rows), day), "raw_t5.run", day, location=where) == rows
+    assert sink.finished_runs(spark, "raw_t5.run") == {"2026-03-20": 4, "2026-03-27": 3}
+
+    def per_day():
+        return sorted((str(r[0]), r[1]) for r in spark.table("raw_t5.run").groupBy("_ingestion_date").count().collect())
+
+    assert per_day() == [("2026-03-20", 4), ("2026-03-27", 3)]
+    # Half-way through, a task fails: the date keeps its rows and is unfinished until it runs again.
+    broken = sink.stamp(spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("lost")).cast("bigint")).alias("id")), DAY)
+    with pytest.raises(PySparkException, match="lost"):
+        sink.load_run(broken, "raw_t5.run", DAY)
+    assert per_day() == [("2026-03-20", 4), ("2026-03-27", 3)] and list(sink.finished_runs(spark, "raw_t5.run")) == ["2026-03-27"]
+    assert sink.load_run(sink.stamp(spark.range(6), DAY), "raw_t5.run", DAY) == 6 and per_day()[0][1] == 6
+    # A run without rows leaves its date without rows; rows of other dates are not its own.
+    assert sink.load_run(sink.stamp(spark.range(2), DAY), "raw_t5.run", datetime.date(2026, 3, 27)) == 0
+    assert per_day() == [("2026-03-20", 6)] and sink.finished_runs(spark, "raw_t5.run") == {"2026-03-20": 6, "2026-03-27": 0}
+    with pytest.raises(ValueError, match="partitioned by"):
+        sink.load_run(spark.range(1), "raw_t5.run", DAY, partition_by=["id"])
+    path = write_lines(tmp_path / "a.jsonl", ADZUNA_FULL)
+    for _ in range(2):
+        landing.load_adzuna(spark, path, DAY, "raw_t5.adzuna", location=str(tmp_path / "once"), once=True)
+    assert spark.table("raw_t5.adzuna").count() == 1
+
+
+@pytest.mark.parametrize("partition_by", [[], ["k"]])
+@pytest.mark.parametrize("managed", [False, True])
+def test_replace_is_one_step(spark, tmp_path, monkeypatch, partition_by, managed):
+    """A reader sees the old rows or the new ones at every step; failures leave no folder behind."""
+    layer = f"versions{len(partition_by)}{int(managed)}"
+    table = f"{layer}.t"
+    spark.sql(f"CREATE DATABASE {layer} LOCATION '{tmp_path}/db'")
+
+    def rows(n):
+        return spark.range(n).select("id", (F.col("id") % 2).alias("k"))
+
+    where = f"{tmp_path}/db/t" if managed else str(tmp_path / "there")
+    options = {"partition_by": partition_by} | ({} if managed else {"location": where})
+    sink.load_table(rows(2), table, "WRITE_APPEND", **options)
+    assert managed == (sink._details(spark, table)["Type"] == "MANAGED")
+    begun = spark.table(table)
+    seen, point = [], sink._point_table
+
+    def watched(*args):
+        seen.append(spark.table(table).count())
+        point(*args)
+        seen.append(spark.table(table).count())
+
+    monkeypatch.setattr(sink, "_point_table", watched)
+    sink.load_table(rows(3), table, **options)
+    assert begun.count() == 2  # planned before, read after
+    sink.load_table(rows(4), table, **options)
+    sink.load_table(rows(5), table, **options)
+    assert seen == [2, 3, 3, 4, 4, 5]
+    assert len(list(Path(where).iterdir())) == 2  # the version read now and the one before
+    sink.load_table(rows(1), table, "WRITE_APPEND", partition_by=partition_by)
+    assert spark.table(table).count() == 6
+
+    def stopped(*args):
+        raise OSError("stopped between the steps")
+
+    monkeypatch.setattr(sink, "_point_table", stopped)
+    with pytest.raises(OSError, match="stopped"):
+        sink.load_table(rows(9), table, **options)
+    assert spark.table(table).count() == 6 and len(list(Path(where).iterdir())) == 2
+    assert not sink.load_table(rows(0), table, skip_if_empty=True, **options) and spark.table(table).count() == 6
+    monkeypatch.setattr(sink, "_point_table", point)
+    sink.load_table(rows(3).withColumn("more", F.lit("x")), table, **options)
+    assert spark.table(table).columns[-1] == (partition_by or ["more"])[-1] and spark.table(table).count() == 3
+    spark.sql(f"DROP DATABASE {layer} CASCADE")
 
 
 def test_load_geo_urssaf_and_payroll(spark, tmp_path):
