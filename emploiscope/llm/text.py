@@ -118,10 +118,11 @@ def words(data: np.ndarray, offsets: np.ndarray, alphabet: np.ndarray, lower: bo
     after[filled[1:] - 1] = False
     starts = np.flatnonzero(inside[1:-1] & ~before)
     ends = np.flatnonzero(inside[1:-1] & ~after) + 1
-    return Words(starts, ends, _hashes(data, starts, ends), np.searchsorted(starts, offsets))
+    return Words(starts, ends, byte_hashes(data, starts, ends), np.searchsorted(starts, offsets))
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the stretches ``data[starts[i]:ends[i]]``, which follow each other."""
     out = np.empty(len(starts), dtype=np.uint64)
     low = 0
     while low < len(starts):
