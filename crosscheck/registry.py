@@ -17,7 +17,7 @@ from crosscheck.models_sql import category_case, with_ctes
 from emploiscope import schemas
 from emploiscope.functions import codes, titles
 from emploiscope.operators import grid, latest, quality, reshape
-from emploiscope.plans import intermediate, landing, layers, marts
+from emploiscope.plans import current_state, intermediate, landing, layers, marts
 from emploiscope.plans import staging_offers as offers
 from emploiscope.plans import staging_territory as territory
 from emploiscope.plans.declared_checks import APE_CODES, BMO_CODES, CHECKS, check_model
@@ -579,6 +579,33 @@ def d1(spark, sf):
     )
 
 
+@query(
+    "d1_incremental_state",
+    f"""
+SELECT offre_id, titre, CAST(date_trunc('quarter', _ingestion_date) AS DATE) AS _ingestion_date, {sql_moment('date_creation')}, redirect_url
+FROM latest_adzuna""",
+)
+def d1_state(spark, sf):
+    """The newest rows kept as a table: quarters arrive out of order, and one is loaded again after it had lost rows."""
+    raw = inputs.adzuna(spark, sf).withColumn("_ingestion_date", F.trunc("_ingestion_date", "quarter"))
+    month = F.month("_ingestion_date")
+    where, state = working_folder(spark, "d1_raw"), working_folder(spark, "d1_state")
+    table = f"{LAYER}.d1_state"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {LAYER}")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    by_date = {"partition_by": ["_ingestion_date"], "rebalance": True}
+    for step in (month < 4, month > 4, (month == 4) & (F.col("offre_id").cast("bigint") % 3 > 0)):
+        sink.load_path(raw.filter(step), where, "WRITE_APPEND", **by_date)
+        current_state.absorb(spark, spark.read.parquet(where), table, "offre_id", _TIES, location=state)
+    again = raw.filter(month == 4).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    again.partitionBy("_ingestion_date").parquet(where)
+    current_state.absorb(spark, spark.read.parquet(where), table, "offre_id", _TIES, location=state)
+    return spark.table(table).select("offre_id", "titre", "_ingestion_date", moment("date_creation"), "redirect_url")
+
+
+_TIES = ["date_creation"]
+
+
 def _step(columns: list[str]) -> str:
     return f"SELECT redirect_url, {', '.join(columns)} FROM raw_adzuna_enriched"
 
@@ -767,6 +794,22 @@ def f1(spark, sf):
     return enriched(spark, sf).select(*_ENRICHED)
 
 
+@query(
+    "f1_nearest_commune",
+    """
+SELECT offre_id, code AS code_commune FROM stg_adzuna LEFT JOIN (
+    SELECT latitude, longitude, code
+    FROM (SELECT DISTINCT latitude, longitude FROM stg_adzuna WHERE abs(latitude) <= 90 AND abs(longitude) <= 180), communes
+    WHERE abs(centre_lat) <= 90 AND abs(centre_lon) <= 180
+    QUALIFY row_number() OVER (PARTITION BY latitude, longitude
+                               ORDER BY pow((centre_lon - longitude) * cos(radians(latitude)), 2) + pow(centre_lat - latitude, 2), code) = 1
+) USING (latitude, longitude)""",
+)
+def f1_nearest(spark, sf):
+    """The commune whose centre is nearest to an offer's coordinates, against all pairs."""
+    return intermediate.with_nearest_commune(stg_adzuna(spark, sf), communes(spark, sf)).select("offre_id", "code_commune")
+
+
 @query(
     "f1_unplaced_offers",
     """

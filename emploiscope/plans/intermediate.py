@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emploiscope.functions.codes import city_commune, departement_of_commune, name_key
 from emploiscope.operators.lookup import add_names, unique_lookup
+from emploiscope.operators.nearest import nearest_places
 
 _SHARED = [
     "offre_id",
@@ -33,8 +34,9 @@ def int_offres_enrichies(adzuna: DataFrame, france_travail: DataFrame, communes:
 
     France Travail offers are placed by commune code, arrondissements as their city; one
     without a commune is placed by the département of its place name ("69 - Lyon") or else of its
-    postal code. Adzuna offers carry no code and are placed by folded département name. An offer
-    that cannot be placed is kept with NULL names.
+    postal code. Adzuna offers carry no code and are placed by folded département name; those that
+    ``with_nearest_commune`` has given a commune get its name too. An offer that cannot be placed is
+    kept with NULL names.
     """
     # One pass over the offers: a row has a commune or a département to look up, never both.
     coded = france_travail.filter("is_metier_data").select(
@@ -50,16 +52,27 @@ def int_offres_enrichies(adzuna: DataFrame, france_travail: DataFrame, communes:
         *_SHARED, "code_commune", "nom_commune", *(F.when(F.col("code_commune").isNull(), F.col(f"_{name}")).otherwise(F.col(name)).alias(name) for name in placed)
     )
     names = unique_lookup(departements, name_key(F.col("nom")), ["code", "nom", "code_region", "nom_region"])
+    commune = ["code_commune"] if "code_commune" in adzuna.columns else []
     by_name = add_names(
-        adzuna.filter("is_metier_data").select(*_SHARED, name_key(F.col("departement_nom")).alias("_place")),
+        adzuna.filter("is_metier_data").select(*_SHARED, *commune, name_key(F.col("departement_nom")).alias("_place")),
         names,
         F.col("_place"),
         "_key",
         {"code_departement": "code", "nom_departement": "nom", "code_region": "code_region", "nom_region": "nom_region"},
     ).drop("_place")
+    if commune:
+        by_name = add_names(by_name, communes, F.col("code_commune"), "code", {"nom_commune": "nom"})
     return by_code.unionByName(by_name, allowMissingColumns=True)
 
 
+def with_nearest_commune(offers: DataFrame, communes: DataFrame) -> DataFrame:
+    """[declared] ``offers`` with the ``code_commune`` whose centre is nearest to their coordinates, NULL without any."""
+    centres = communes.select("code", F.col("centre_lat").alias("latitude"), F.col("centre_lon").alias("longitude"))
+    nearest = nearest_places(offers, centres, "code").select(F.col("latitude").alias("_lat"), F.col("longitude").alias("_lon"), F.col("code").alias("code_commune"))
+    same = (F.col("latitude") == F.col("_lat")) & (F.col("longitude") == F.col("_lon"))
+    return offers.join(nearest, same, "left").drop("_lat", "_lon")
+
+
 def _departement_code() -> Column:
     """From a place name that begins with the code, or from the postal code."""
     named = F.regexp_extract("localisation_libelle", "^(2[AB]|9[78][0-9]|[0-9]{2}) *-", 1)

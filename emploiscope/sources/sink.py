@@ -6,7 +6,7 @@ import contextlib
 import datetime
 import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -135,8 +135,12 @@ def load_table(
     rebalance: bool = False,
     skip_if_empty: bool = False,
     location: str | None = None,
+    beside: Callable[[str], object] | None = None,
 ) -> bool:
-    """The same for a catalog table ``<layer>.<name>``, in ``location`` or the layer's own folder."""
+    """The same for a catalog table ``<layer>.<name>``, in ``location`` or the layer's own folder.
+
+    ``beside`` may add hidden files to the folder of a replaced table before it takes effect.
+    """
     spark = df.sparkSession
     writer = _writer(df, disposition, partition_by, cluster_by, rebalance)
     layer, _, name = table.rpartition(".")
@@ -144,7 +148,7 @@ def load_table(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
     if disposition == "WRITE_TRUNCATE":
         base = location or f"{spark.catalog.getDatabase(layer or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}"
-        return _replace_table(writer, df, table, base.rstrip("/"), partition_by, skip_if_empty)
+        return _replace_table(writer, df, table, base.rstrip("/"), partition_by, skip_if_empty, beside)
     if skip_if_empty and df.isEmpty():
         return False
     with _partitions_by_listing(spark):
@@ -179,7 +183,13 @@ def table_location(spark: SparkSession, table: str) -> str:
 
 
 def _replace_table(
-    writer: DataFrameWriter, df: DataFrame, table: str, base: str, partition_by: Sequence[str], skip_if_empty: bool
+    writer: DataFrameWriter,
+    df: DataFrame,
+    table: str,
+    base: str,
+    partition_by: Sequence[str],
+    skip_if_empty: bool,
+    beside: Callable[[str], object] | None,
 ) -> bool:
     """Write a new version folder under ``base`` (hidden from who reads ``base`` itself), then let the table read it: one change in the catalog.
 
@@ -195,6 +205,8 @@ def _replace_table(
         if skip_if_empty and spark.read.schema(df.schema).parquet(version).isEmpty():
             files.delete(folder, True)
             return False
+        if beside:
+            beside(version)
         _point_table(spark, table, version, df, partition_by)
     except BaseException:
         if not spark.catalog.tableExists(table) or table_location(spark, table) != _bare(version):
