@@ -31,7 +31,7 @@ WINDOW = 13
 SHINGLE = 5
 BLOCK_SHINGLES = 2_000_000
 
-_FOUND = "doc_id bigint, n_words bigint, block int, shingle bigint, positions array<int>, run_start array<int>, run_end array<int>, run int, run_words string"
+_FOUND = "doc_id bigint, n_words bigint, block int, shingle bigint, positions array<int>, run_start array<int>, run_end array<int>, run int, run_words string, own_id bigint"
 _ITEMS = "item_id string, n_words int, position int, size int, shingle bigint, words string"
 
 
@@ -70,13 +70,13 @@ def _occurrences(block: int, wanted: dict[int, np.ndarray], total: bool):
     @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
+            ids, own_ids = (batch.column(c).to_pylist() for c in ("doc_id", "own_id"))
             out: list[tuple] = []
             for low, _, data, offsets in blocks(batch.column("text")):
                 found = words(data, offsets, ALPHANUMERIC)
                 counts = np.diff(found.first)
                 if total:
-                    out += [(ids[low + i], n, block, None, None, None, None, None, None) for i, n in enumerate(counts.tolist())]
+                    out += [(ids[low + i], n, block, None, None, None, None, None, None, own_ids[low + i]) for i, n in enumerate(counts.tolist())]
                 doc_of = np.repeat(np.arange(len(counts)), counts)
                 for size, hashes in wanted.items():
                     every = windows(found.hashes, size).view(np.int64)
@@ -93,7 +93,7 @@ def _occurrences(block: int, wanted: dict[int, np.ndarray], total: bool):
                     for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
                         doc = int(doc_of[a])
                         texts = b" ".join([LOWER[data[x:y]].tobytes() for x, y in zip(found.starts[a:b].tolist(), found.ends[a:b].tolist(), strict=True)])
-                        out.append((ids[low + doc], int(counts[doc]), block, None, None, None, None, a - int(found.first[doc]), texts.decode("utf-8", "replace")))
+                        out.append((ids[low + doc], int(counts[doc]), block, None, None, None, None, a - int(found.first[doc]), texts.decode("utf-8", "replace"), None))
                     base = found.first[doc_of[hit]]
                     order = np.lexsort((hit, every[hit], doc_of[hit]))
                     keys = np.stack([doc_of[hit][order], every[hit][order]])
@@ -102,7 +102,7 @@ def _occurrences(block: int, wanted: dict[int, np.ndarray], total: bool):
                         own = order[a:b]
                         doc, r = int(doc_of[hit[own[0]]]), run_of[own]
                         place = ((hit[own] - base[own]).tolist(), (begins[r] - base[own]).tolist(), (ends[r] - base[own]).tolist())
-                        out.append((ids[low + doc], int(counts[doc]), block, int(every[hit[own[0]]]), *place, None, None))
+                        out.append((ids[low + doc], int(counts[doc]), block, int(every[hit[own[0]]]), *place, None, None, None))
             yield from _found_batches(out)
 
     return run
@@ -110,17 +110,25 @@ def _occurrences(block: int, wanted: dict[int, np.ndarray], total: bool):
 
 def _found_batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     ints = pa.list_(pa.int32())
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), ints, ints, ints, pa.int32(), pa.string()]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), ints, ints, ints, pa.int32(), pa.string(), pa.int64()]
     for low in range(0, len(rows), 5000):
         columns = list(zip(*rows[low : low + 5000], strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in _FOUND.split(", ")])
 
 
+def content_key(docs: DataFrame) -> F.Column:
+    """A 64-bit fingerprint of doc_id and text, so that rows without a doc_id, or sharing one, are told apart."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
 class Decontamination:
-    """``spans``: hit stretches of words per document and item; ``report``: one row per document."""
+    """``spans``: hit stretches of words per document and item; ``report``: one row per document.
+
+    Inside, ``doc_id`` is the document's content key.
+    """
 
     def __init__(self, docs: DataFrame, benchmark: DataFrame) -> None:
-        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs.select(content_key(docs).alias("doc_id"), F.col("doc_id").cast("bigint").alias("own_id"), F.col("text").cast("string").alias("text"))
         self.work = Workspace(docs.sparkSession, "decontaminate")
         items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
         self.items = self.work.save(items.mapInArrow(_item_windows, _ITEMS).distinct(), "item-windows")
@@ -137,9 +145,9 @@ class Decontamination:
             wanted = {int(size): np.sort(group["shingle"].to_numpy(dtype=np.int64)) for size, group in own.groupby("size")}
             found.append(self.work.save(self.docs.mapInArrow(_occurrences(block, wanted, block == 0), _FOUND), "occurrences"))
         found = reduce(DataFrame.union, found)
-        self.totals = found.filter("shingle is null and run is null").select("doc_id", "n_words")
+        self.totals = found.filter("shingle is null and run is null").select("doc_id", "n_words", "own_id")
         self.runs = found.filter("run is not null").select("doc_id", "block", "run", "run_words").distinct()
-        self.found = found.filter("shingle is not null").drop("run", "run_words")
+        self.found = found.filter("shingle is not null").drop("run", "run_words", "own_id")
 
     def _prefixes(self) -> DataFrame:
         """The rarest shingle of every window; ties go to the smaller hash."""
@@ -183,7 +191,8 @@ class Decontamination:
         n_hit = F.coalesce("n_hit", F.lit(0))
         listed = F.coalesce("items", F.array().cast("array<string>"))
         return out.select(
-            "doc_id",
+            F.col("own_id").alias("doc_id"),
+            F.col("doc_id").alias("content_key"),
             "n_words",
             n_hit.alias("n_hit"),
             F.size(listed).cast("bigint").alias("n_items"),
@@ -198,15 +207,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Words are runs of ASCII digits, lower-cased A-Z and any characters outside ASCII. A word inside
     any occurrence of a window of ``benchmark(item_id, text)`` is hit; a document is contaminated
     when at least one word in twenty is. Null, empty and wordless texts have no words and are clean;
-    such items have no window. Documents share hits only through equal doc_ids: rows that repeat a
-    doc_id with other text are not told apart. Null doc_ids are reported without hits. Other columns
-    are ignored; empty tables give no hits or no rows.
+    such items have no window. Rows without a doc_id, and rows that share one, have the hits of their
+    own texts. Other columns are ignored; empty tables give no hits or no rows.
     """
-    return Decontamination(docs, benchmark).report()
+    return Decontamination(docs, benchmark).report().drop("content_key")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     found = Decontamination(docs, benchmark)
-    bad = found.report().filter("contaminated").select("doc_id").distinct()
-    return without(docs, found.work.save(bad, "contaminated"), "doc_id")
+    bad = found.report().filter("contaminated").select(F.col("content_key").alias("_content_key")).distinct()
+    keyed = docs.withColumn("_content_key", content_key(docs))
+    return without(keyed, found.work.save(bad, "contaminated"), "_content_key").select(*docs.columns)
