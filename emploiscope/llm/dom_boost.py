@@ -34,13 +34,15 @@ DEPTH = 4
 BINS = 32
 RATE = 0.3
 BATCH_PAGES = 64
+# An element around the article or first heading with more than this share of the page's text frames the page.
+WHOLE_PAGE = 0.6
 
 # HTML's element categories, and the words that sites use in attributes.
 _BLOCK = frozenset(
     "html body div article section main nav aside header footer p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption form fieldset blockquote pre figure figcaption address details summary dialog menu hr center".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style title textarea noscript template iframe object svg math select button option head".split())
+_RAW = frozenset("script style title textarea noscript template iframe select button option head".split())
 _REJECTED_TAGS = frozenset("nav aside footer form menu dialog fieldset".split())
 _TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li dd td".split())
 _ARTICLE_TAGS = frozenset(("article", "main"))
@@ -55,7 +57,8 @@ _REJECTED_WORDS = frozenset(
 )
 _TEXT_WORDS = frozenset("article articlebody content contents post entry story body main text prose".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+# A tag runs to the next > outside quotes, and not past a <, so that tags that never close take linear time.
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?][^<>]*>", re.S)
 _ATTRIBUTE = re.compile(r"(?:class|id|role|itemprop|aria-label|data-component)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -198,6 +201,10 @@ def features(page: Page) -> np.ndarray:
         size[p] += size[i]
         link_chars[p] += link_chars[i]
         links[p] += links[i]
+    frames = np.zeros(n, dtype=bool)
+    for i in range(n - 1, 0, -1):
+        frames[parents[i]] |= frames[i] or page.tags[i] in _ARTICLE_TAGS or page.tags[i] == "h1"
+    total = max(1.0, subtree[0])
     x = np.zeros((n, len(FEATURES)))
     depth = np.zeros(n)
     under = np.zeros((n, 4))
@@ -208,6 +215,9 @@ def features(page: Page) -> np.ndarray:
         depth[i] = depth[p] + 1
         article = under[p, 2] or tag in _ARTICLE_TAGS
         bad = tag in _REJECTED_TAGS or tag == "header" and not article
+        # What frames the whole page rejects nothing, whatever its classes, and be it a form.
+        if tag in ("html", "body") or frames[i] and subtree[i] > WHOLE_PAGE * total:
+            bad, rejected = False, 0
         x[i, 0], x[i, 1], x[i, 2], x[i, 3] = bad, tag in _TEXT_TAGS, min(rejected, 2), min(wanted, 2)
         under[i] = under[p, 0] or bad, under[p, 1] or rejected > 0, article, under[p, 3] or wanted > 0
         place[i] = children[p]
@@ -224,7 +234,6 @@ def features(page: Page) -> np.ndarray:
         seen += len(text)
     for i in range(n):
         before[i] = first.get(i, before[parents[i]] if i else 0)
-    total = max(1.0, subtree[0])
     x[:, 4:8] = under
     x[:, 8] = depth
     x[:, 9] = np.log1p(own)
