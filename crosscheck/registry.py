@@ -17,7 +17,7 @@ from crosscheck.models_sql import category_case, with_ctes
 from emploiscope import schemas
 from emploiscope.functions import codes, titles
 from emploiscope.operators import grid, latest, quality, reshape
-from emploiscope.plans import current_state, intermediate, landing, layers, marts
+from emploiscope.plans import current_state, intermediate, landing, layers, marts, staging_views
 from emploiscope.plans import staging_offers as offers
 from emploiscope.plans import staging_territory as territory
 from emploiscope.plans.declared_checks import APE_CODES, BMO_CODES, CHECKS, check_model
@@ -680,6 +680,20 @@ def d11(spark, sf):
     return stg_adzuna(spark, sf).withColumn("date_creation", moment("date_creation"))
 
 
+def _view(spark, sf, model, raw):
+    """A staged model read by name through its persistent view over a raw table of the catalog."""
+    table, _ = staging_views.VIEWS[model]
+    sink.load_table(raw, f"crosscheck_raw.{table}", location=f"{working_folder(spark, 'b10_raw')}/{table}")
+    staging_views.create_functions(spark, "crosscheck_staging")
+    staging_views.create_view(spark, model, "crosscheck_raw", "crosscheck_staging")
+    return spark.table(f"crosscheck_staging.{model}")
+
+
+@query("b10_view_adzuna", f"SELECT {_STAGED} FROM stg_adzuna")
+def b10_view_adzuna(spark, sf):
+    return _view(spark, sf, "stg_adzuna__offres", inputs.adzuna(spark, sf)).withColumn("date_creation", moment("date_creation"))
+
+
 # E: other staged tables.
 
 
@@ -755,16 +769,20 @@ _FT_COLUMNS = [
 ]
 
 
-@query(
-    "e9_stg_france_travail",
-    "SELECT "
-    + ", ".join(sql_moment(c) if c == "date_creation" else c for c in _FT_COLUMNS)
-    + " FROM stg_france_travail",
-)
+_STAGED_FT = ", ".join(sql_moment(c) if c == "date_creation" else c for c in _FT_COLUMNS)
+
+
+@query("e9_stg_france_travail", f"SELECT {_STAGED_FT} FROM stg_france_travail")
 def e9(spark, sf):
     return stg_france_travail(spark, sf).withColumn("date_creation", moment("date_creation")).select(*_FT_COLUMNS)
 
 
+@query("b10_view_france_travail", f"SELECT {_STAGED_FT} FROM stg_france_travail")
+def b10_view_france_travail(spark, sf):
+    view = _view(spark, sf, "stg_france_travail__offres", inputs.france_travail(spark, sf))
+    return view.withColumn("date_creation", moment("date_creation")).select(*_FT_COLUMNS)
+
+
 @query("e10_stg_payroll", "SELECT * FROM stg_payroll")
 def e10(spark, sf):
     return stg_payroll(spark, sf)

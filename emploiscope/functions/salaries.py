@@ -41,15 +41,15 @@ def midpoint(low: Column, high: Column) -> Column:
 # Reading of a salary sentence such as "Annuel de 35000.0 Euros à 45000.0 Euros sur 12.0 mois".
 # Digit groups may be set apart by a space, a no-break space or a narrow no-break space; of two
 # amounts the first may go without its currency. Anything else is unreadable and gives NULL.
-_GAP = "[ \u00a0\u202f]"
-_AMOUNT = f"([0-9]{{1,3}}(?:{_GAP}[0-9]{{3}})+(?:[.,][0-9]+)?|[0-9]+(?:[.,][0-9]+)?)"
-_CURRENCY = f"{_GAP}*(?:Euros?|€)"
-_RANGE = f"^[^0-9]*?{_AMOUNT}(?:{_CURRENCY})?{_GAP}*à{_GAP}*{_AMOUNT}{_CURRENCY}"
-_SINGLE = f"^[^0-9]*?{_AMOUNT}{_CURRENCY}"
+GAP = "[ \u00a0\u202f]"
+AMOUNT = f"([0-9]{{1,3}}(?:{GAP}[0-9]{{3}})+(?:[.,][0-9]+)?|[0-9]+(?:[.,][0-9]+)?)"
+CURRENCY = f"{GAP}*(?:Euros?|€)"
+RANGE = f"^[^0-9]*?{AMOUNT}(?:{CURRENCY})?{GAP}*à{GAP}*{AMOUNT}{CURRENCY}"
+SINGLE = f"^[^0-9]*?{AMOUNT}{CURRENCY}"
 
 
 def _number(text: Column) -> Column:
-    return F.nullif(F.regexp_replace(F.regexp_replace(text, _GAP, ""), ",", "."), F.lit("")).cast("double")
+    return F.nullif(F.regexp_replace(F.regexp_replace(text, GAP, ""), ",", "."), F.lit("")).cast("double")
 
 
 def sentence_period(sentence: Column) -> Column:
@@ -60,17 +60,17 @@ def sentence_period(sentence: Column) -> Column:
 
 def sentence_low(sentence: Column) -> Column:
     """The first amount of a range, or the only one."""
-    return F.coalesce(_number(F.regexp_extract(sentence, _RANGE, 1)), _number(F.regexp_extract(sentence, _SINGLE, 1)))
+    return F.coalesce(_number(F.regexp_extract(sentence, RANGE, 1)), _number(F.regexp_extract(sentence, SINGLE, 1)))
 
 
 def sentence_high(sentence: Column) -> Column:
     """The second amount; NULL when only one is given."""
-    return _number(F.regexp_extract(sentence, _RANGE, 2))
+    return _number(F.regexp_extract(sentence, RANGE, 2))
 
 
 def sentence_months(sentence: Column) -> Column:
     """Months paid per year, 12 unless the sentence says otherwise."""
-    return F.coalesce(_number(F.regexp_extract(sentence, "sur " + _AMOUNT + " *mois", 1)), F.lit(float(MONTHS_PER_YEAR)))
+    return F.coalesce(_number(F.regexp_extract(sentence, "sur " + AMOUNT + " *mois", 1)), F.lit(float(MONTHS_PER_YEAR)))
 
 
 def sentence_annual(period: Column, amount: Column, months: Column) -> Column:

@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from emploiscope.operators.quality import enforce
-from emploiscope.plans import intermediate, marts
+from emploiscope.plans import intermediate, marts, staging_views
 from emploiscope.plans import staging_offers as offers
 from emploiscope.plans import staging_territory as territory
 from emploiscope.plans.declared_checks import CHECKS, check_model
@@ -18,8 +18,8 @@ log = logging.getLogger(__name__)
 
 VIEW, TABLE = "view", "table"
 
-# How each layer is materialised, and the one model that differs.
-# Staged models are tables too: a DataFrame can't become a view that other sessions read, and
+# How each layer is materialised from DataFrames. Staged models are tables unless ``build`` is given
+# the schema of the raw tables: a DataFrame can't become a view that other sessions read, and
 # several models and all checks read each of them.
 LAYER_KIND = {"staging": TABLE, "intermediate": TABLE, "marts": TABLE}
 MODEL_KIND: dict[str, str] = {}
@@ -41,19 +41,32 @@ def materialise(
 
 
 def build(
-    spark: SparkSession, raw: Mapping[str, DataFrame], kinds: Mapping[str, str] = MODEL_KIND, root: str | None = None
+    spark: SparkSession,
+    raw: Mapping[str, DataFrame],
+    kinds: Mapping[str, str] = MODEL_KIND,
+    root: str | None = None,
+    raw_schema: str | None = None,
 ) -> dict[str, DataFrame]:
     """All layers from the raw tables, keyed by model name; tables go under ``root`` if given.
 
+    With ``raw_schema``, the catalog schema that holds the raw tables, staged models are persistent
+    views over them and only the register stays a table. Every reader then runs the view's plan, so
+    tables are the cheaper form where the classified offers are read often.
+
     The declared checks of a staged model run as soon as it is built. One of severity error
     that fails raises ``CheckFailed``, and nothing after it is built; those of severity warn are
     logged.
     """
     built: dict[str, DataFrame] = {}
+    if raw_schema:
+        staging_views.create_functions(spark, "staging")
 
     def add(layer: str, model: str, df: DataFrame) -> DataFrame:
         location = f"{root.rstrip('/')}/{layer}/{model}" if root else None
-        built[model] = materialise(df, layer, model, kinds, location)
+        if raw_schema and model in staging_views.VIEWS:
+            built[model] = staging_views.create_view(spark, model, raw_schema, layer)
+        else:
+            built[model] = materialise(df, layer, model, kinds, location)
         if model in CHECKS:
             report = check_model(built[model], model, built).collect()  # one row per declared check
             for row in report:

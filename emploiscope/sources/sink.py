@@ -139,6 +139,8 @@ def load_table(
 ) -> bool:
     """The same for a catalog table ``<layer>.<name>``, in ``location`` or the layer's own folder.
 
+    A view of that name is refused, and stays as it is.
+
     ``beside`` may add hidden files to the folder of a replaced table before it takes effect.
     """
     spark = df.sparkSession
@@ -146,6 +148,8 @@ def load_table(
     layer, _, name = table.rpartition(".")
     if layer:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW":
+        raise ValueError(f"{table} is a view; drop it before a table takes its name")
     if disposition == "WRITE_TRUNCATE":
         base = location or f"{spark.catalog.getDatabase(layer or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{name}"
         return _replace_table(writer, df, table, base.rstrip("/"), partition_by, skip_if_empty, beside)
