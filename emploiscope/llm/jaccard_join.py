@@ -48,7 +48,7 @@ PIVOTS = 4
 BROADCAST_IDS = 500_000
 BLOCK_SHINGLES = 4_000_000
 
-_POSTED = "bucket int, doc_id bigint, n bigint, listed bigint, record bigint, shingles binary, records binary"
+_POSTED = "bucket int, key bigint, doc_id bigint, n bigint, listed bigint, record bigint, shingles binary, records binary"
 _MERGED = "kind int, doc_id bigint, n bigint, listed bigint, a bigint, b bigint"
 _DOCUMENT, _PAIR, _LONG_LIST = 0, 1, 2
 
@@ -87,7 +87,7 @@ def _post(buckets: int, size: int, percent: int, share: float):
                         owners.append(np.full(len(kept), record, dtype=np.int64))
             n = len(counts)
             yield _posted_batch(
-                np.arange(n) % buckets, batch.column("doc_id"), counts, listed, records, [None] * n, [None] * n
+                np.arange(n) % buckets, batch.column("key"), batch.column("doc_id"), counts, listed, records, [None] * n, [None] * n
             )
             if posted:
                 posted, owners = np.concatenate(posted), np.concatenate(owners)
@@ -98,16 +98,16 @@ def _post(buckets: int, size: int, percent: int, share: float):
                 spans = list(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
                 none = [None] * len(spans)
                 yield _posted_batch(
-                    bucket[edges[:-1]], none, none, none, none, [posted[a:b].tobytes() for a, b in spans], [owners[a:b].tobytes() for a, b in spans]
+                    bucket[edges[:-1]], none, none, none, none, none, [posted[a:b].tobytes() for a, b in spans], [owners[a:b].tobytes() for a, b in spans]
                 )
 
     return run
 
 
-def _posted_batch(bucket, doc_id, n, listed, record, shingles, records) -> pa.RecordBatch:
-    longs = [pa.array(x, type=pa.int64()) if isinstance(x, list) else x for x in (doc_id, n, listed, record)]
+def _posted_batch(bucket, key, doc_id, n, listed, record, shingles, records) -> pa.RecordBatch:
+    longs = [pa.array(x, type=pa.int64()) if isinstance(x, list) else x for x in (key, doc_id, n, listed, record)]
     arrays = [pa.array(bucket, type=pa.int32()), *longs, pa.array(shingles, type=pa.binary()), pa.array(records, type=pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, names=["bucket", "doc_id", "n", "listed", "record", "shingles", "records"])
+    return pa.RecordBatch.from_arrays(arrays, names=["bucket", "key", "doc_id", "n", "listed", "record", "shingles", "records"])
 
 
 def _merged_batch(kind: int, **columns) -> pa.RecordBatch:
@@ -130,7 +130,8 @@ def _merge_lists(batches: Iterator[pa.RecordBatch], last: np.uint64) -> Iterator
     for batch in batches:
         mine = batch.filter(pa.compute.is_valid(batch.column("record")))
         if len(mine):
-            yield _merged_batch(_DOCUMENT, doc_id=mine.column("doc_id"), n=mine.column("n"), listed=mine.column("listed"), a=mine.column("record"))
+            columns = {x: mine.column(x) for x in ("doc_id", "n", "listed")}
+            yield _merged_batch(_DOCUMENT, **columns, a=mine.column("record"), b=mine.column("key"))
         for s, r in zip(batch.column("shingles"), batch.column("records"), strict=True):
             if s.is_valid:
                 shingles.append(np.frombuffer(s.as_buffer(), dtype=np.uint64).copy())
@@ -291,10 +292,15 @@ def _verify(percent: int):
     return run
 
 
+def row_key() -> F.Column:
+    """What a row is found again by: rows share it only if they share doc_id and text."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+
+
 class _Join:
     def __init__(self, docs: DataFrame, size: int, percent: int) -> None:
         self.size, self.percent = size, percent
-        self.docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs.select(row_key().alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
         self.work = Workspace(docs.sparkSession, "jaccard")
 
     def lists(self, docs: DataFrame, share: float) -> DataFrame:
@@ -304,8 +310,10 @@ class _Join:
         return self.work.save(spread.mapInArrow(_merge(share), _MERGED), "lists", "kind")
 
     def members_and_records(self, merged: DataFrame) -> None:
-        self.members = merged.filter(F.col("kind") == _DOCUMENT).select("doc_id", "n", "listed", F.col("a").alias("record"))
-        records = self.members.groupBy("record").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("listed").alias("listed"))
+        self.members = merged.filter(F.col("kind") == _DOCUMENT).select("doc_id", "n", "listed", F.col("a").alias("record"), F.col("b").alias("key"))
+        first = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "key")).alias("first")
+        records = self.members.groupBy("record").agg(first, F.first("n").alias("n"), F.first("listed").alias("listed"))
+        records = records.select("record", "first.doc_id", "first.key", "n", "listed")
         self.records = self.work.save(records, "records")
 
     @staticmethod
@@ -318,7 +326,7 @@ class _Join:
         long = merged.filter(F.col("kind") == _LONG_LIST).select(F.col("a").alias("shingle"), F.col("b").alias("record"), "listed", F.col("n").alias("length"))
         skipped = long.groupBy("record").agg(F.sum("listed").alias("skipped"), F.count("*").alias("long"))
         skipped = F.broadcast(skipped) if skipped.count() <= BROADCAST_IDS else skipped
-        skips = self.records.select("record", "doc_id", "n", F.expr(listed).alias("listed")).join(skipped, "record", "left")
+        skips = self.records.select("record", "key", "n", F.expr(listed).alias("listed")).join(skipped, "record", "left")
         return long, self.work.save(skips.withColumns({x: F.coalesce(x, F.lit(0)) for x in ("skipped", "long")}), "skips")
 
     def lacking(self, skips: DataFrame) -> DataFrame:
@@ -328,7 +336,7 @@ class _Join:
         in the lowest share posts some beyond it. Only a record whose posted lists are all short misses none.
         """
         lacking = F.expr(f"n - (n * {self.percent} + 99) div 100 + 1 - (listed - skipped)")
-        return skips.filter("long > 0").select("record", "doc_id", lacking.alias("lacking"), F.expr("n - skipped").alias("private")).filter("lacking > 0")
+        return skips.filter("long > 0").select("record", "key", lacking.alias("lacking"), F.expr("n - skipped").alias("private")).filter("lacking > 0")
 
     def reaching(self, pairs: DataFrame, skips: DataFrame) -> DataFrame:
         """The pairs whose sizes and occurrences allow the required overlap.
@@ -343,11 +351,11 @@ class _Join:
         enough = "times + least(skippeda, skippedb) >= required + greatest(listeda - na, listedb - nb)"
         return counted.filter(enough).select("a", "b")
 
-    def of_ids(self, ids: DataFrame) -> DataFrame:
-        """The documents with a doc_id of the saved table ``ids``, which is broadcast only while it is small."""
-        if ids.count() <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        return self.docs.join(ids, "doc_id", "left_semi")
+    def of_keys(self, keys: DataFrame) -> DataFrame:
+        """The documents with a key of the saved table ``keys``, which is broadcast only while it is small."""
+        if keys.count() <= BROADCAST_IDS:
+            keys = F.broadcast(keys)
+        return self.docs.join(keys, "key", "left_semi")
 
     def candidates(self) -> tuple[DataFrame, DataFrame]:
         """Pairs of the short lists and of pivots; the long lists that can't be skipped."""
@@ -355,8 +363,8 @@ class _Join:
         self.members_and_records(first)
         _, skips = self.long_lists(first, "listed")
         pairs = self.reaching(self.short(first), skips)
-        lacking = self.work.save(self.lacking(skips).select("doc_id").distinct(), "lacking")
-        second = self.lists(self.of_ids(lacking), 1.0)
+        lacking = self.work.save(self.lacking(skips).select("key").distinct(), "lacking")
+        second = self.lists(self.of_keys(lacking), 1.0)
         long, skips = self.long_lists(second, "n")
         rarest = Window.partitionBy("record").orderBy("length", "shingle")
         kept = long.join(self.lacking(skips), "record").withColumn("rank", F.row_number().over(rarest)).filter("rank <= lacking")
@@ -375,8 +383,8 @@ class _Join:
     def links(self, pairs: DataFrame) -> DataFrame:
         """The candidate pairs that are similar enough."""
         pairs = self.work.save(pairs, "candidates")
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("record")).distinct().join(self.records, "record").select("doc_id").distinct()
-        texts = self.of_ids(self.work.save(wanted, "wanted")).select("text")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("record")).distinct().join(self.records, "record").select("key").distinct()
+        texts = self.of_keys(self.work.save(wanted, "wanted")).select("text")
         sets = self.work.save(texts.mapInArrow(_sets(self.size), "record bigint, shingles binary").dropDuplicates(["record"]), "sets")
         left = sets.select(F.col("record").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("record").alias("b"), F.col("shingles").alias("right"))
@@ -391,7 +399,7 @@ class _Join:
         largest = counts.groupBy("shingle").agg(F.max_by("class", F.struct("n", "class")).alias("largest"), F.count("*").alias("classes"))
         mixed = member.join(largest.filter("classes > 1"), "shingle")
         apart = mixed.groupBy("record", "class").agg(F.max(F.col("class") != F.col("largest")).alias("outside"))
-        return self.work.save(apart.join(self.records.select("record", "doc_id", "n"), "record"), "apart")
+        return self.work.save(apart.join(self.records.select("record", "key", "n"), "record"), "apart")
 
     def search(self, apart: DataFrame) -> DataFrame | None:
         """Links between records outside their list's largest class and records of other classes."""
@@ -399,12 +407,12 @@ class _Join:
         held = outside.agg(F.sum("n")).head()[0]
         if not held:
             return None
-        every = self.work.save(apart.select("doc_id", "record", "class").distinct(), "searched")
-        texts = self.docs.join(F.broadcast(every) if every.count() <= BROADCAST_IDS else every, "doc_id")
+        every = self.work.save(apart.select("key", "record", "class").distinct(), "searched")
+        texts = self.docs.join(F.broadcast(every) if every.count() <= BROADCAST_IDS else every, "key")
         parts, found = -(-held // BLOCK_SHINGLES), []
         for part in range(parts):
-            block = outside.filter(F.pmod(F.xxhash64("record"), F.lit(parts)) == part).select("doc_id", "record", "class")
-            queries = self.docs.join(F.broadcast(block), "doc_id").mapInArrow(_own_sets(self.size), "record bigint, class bigint, shingles binary")
+            block = outside.filter(F.pmod(F.xxhash64("record"), F.lit(parts)) == part).select("key", "record", "class")
+            queries = self.docs.join(F.broadcast(block), "key").mapInArrow(_own_sets(self.size), "record bigint, class bigint, shingles binary")
             queries = {r["record"]: (r["class"], np.frombuffer(r["shingles"], dtype=np.uint64)) for r in queries.collect()}
             links = texts.mapInArrow(_search(queries, self.size, self.percent), "a bigint, b bigint")
             found.append(self.work.save(links, "more-links"))
@@ -423,13 +431,13 @@ class _Join:
     def result(self, links: DataFrame, classes: DataFrame) -> DataFrame:
         """One row per input row. A class is named by the smallest doc_id of all its records' documents."""
         record = self.records.join(classes.withColumnRenamed("node", "record"), "record", "left")
-        record = record.select("record", "doc_id", F.coalesce("component", "record").alias("component"))
-        smallest = record.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-        named = record.join(smallest, "component").select("record", "component_id")
-        out = self.members.join(named, "record").select("doc_id", F.col("n").alias("n_shingles"), "record", "component_id")
+        record = record.select("record", "doc_id", "key", F.coalesce("component", "record").alias("component"))
+        first = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "key")).alias("first")
+        firsts = record.groupBy("component").agg(first).select("component", F.col("first.doc_id").alias("component_id"), F.col("first.key").alias("first_key"))
+        named = record.join(firsts, "component").select("record", "component_id", "first_key")
+        out = self.members.join(named, "record").select("doc_id", F.col("n").alias("n_shingles"), "record", "component_id", "key", "first_key")
         # Documents without words are linked with nothing.
-        alone = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-        return out.withColumn("component_id", alone)
+        return out.withColumns({x: F.when(F.col("n_shingles") == 0, F.col(own)).otherwise(F.col(x)) for x, own in (("component_id", "doc_id"), ("first_key", "key"))})
 
 
 def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -439,26 +447,25 @@ def similar_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> Data
     shingles (words between ASCII white space, A-Z lower-cased). ``component_id`` is the smallest
     doc_id reachable by links; ``record`` is equal for equal sets. A text with fewer words has its
     whole sequence as one shingle; null, empty and blank texts have none and stay alone. Repeated
-    rows are kept, each with its row. A null doc_id is carried and never names a class that has
-    another id. Other columns are ignored. An empty table gives an empty table.
+    rows are kept, each with its row. A row without doc_id, or with one that other texts have too, has
+    its own links; a null doc_id never names a class that has another id. Other columns are ignored. An empty table gives an empty table.
     """
-    return _Join(docs, size, percent).run()
+    return _Join(docs, size, percent).run().drop("key", "first_key")
 
 
 def deduplicate(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of every class of similar ones: the one with the smallest doc_id.
+    """``docs`` with one row of every class of similar documents: the one with the smallest doc_id.
 
-    Rows that repeat a doc_id and its text count as copies of each other. Rows without doc_id are
-    kept; rows that share a doc_id but not a text are kept if one of them is.
+    A row without doc_id stays only where no row of its class has one. Rows that repeat a doc_id and its
+    text are copies of each other. Rows without words are all kept, but for such copies with a doc_id.
     """
     work = Workspace(docs.sparkSession, "deduplicate")
-    found = work.save(similar_documents(docs, size, percent).select("doc_id", "component_id"), "classes")
-    first = found.filter("doc_id = component_id").select("doc_id").distinct()
-    dropped = work.save(found.filter("doc_id <> component_id").select("doc_id").distinct().join(first, "doc_id", "left_anti"), "dropped")
-    kept = without(docs, dropped, "doc_id")
-    repeated = work.save(found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id"), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = Window.partitionBy("doc_id", "text").orderBy(F.lit(0))
-    again = kept.join(repeated, "doc_id", "left_semi").withColumn("_copy", F.row_number().over(once)).filter("_copy = 1").drop("_copy")
-    return without(kept, repeated, "doc_id").unionByName(again)
+    found = _Join(docs, size, percent).run().select("key", "first_key", (F.isnull("doc_id") & (F.col("n_shingles") == 0)).alias("blank"))
+    found = work.save(found.withColumnRenamed("key", "_row_key"), "classes")
+    dropped = work.save(found.filter("_row_key <> first_key").select("_row_key").distinct(), "dropped")
+    repeated = work.save(found.filter("not blank").groupBy("_row_key").count().filter("count > 1").select("_row_key"), "repeated")
+    kept = without(docs.withColumn("_row_key", row_key()), dropped, "_row_key")
+    if not repeated.isEmpty():
+        again = kept.join(repeated, "_row_key", "left_semi").dropDuplicates(["_row_key"])
+        kept = without(kept, repeated, "_row_key").unionByName(again)
+    return kept.select(*docs.columns)

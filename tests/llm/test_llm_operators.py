@@ -338,7 +338,8 @@ def test_join_edges(documents, edge_rows):
     docs = documents(edge_rows)
     kept = jaccard_join.deduplicate(docs)
     assert kept.columns == docs.columns
-    assert rows_of(kept, "doc_id") == rows_of(docs.filter("doc_id is null or doc_id in (1, 2, 3, 4, 6, 8)"), "doc_id") + [(5,)] or sorted(r[0] or 0 for r in kept.select("doc_id").collect()) == [0, 1, 2, 3, 4, 5, 6, 8]
+    # 7 is 4 again, the text without an id is 5 again, and so is the second row of 5.
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == [1, 2, 3, 4, 5, 6, 8]
 
 
 def test_occurrences_counts_or_gives_up():

@@ -3,9 +3,9 @@
 import random
 import time
 
-from emploiscope.llm import decontaminate, dom_boost
+from emploiscope.llm import decontaminate, dom_boost, jaccard_join
 
-from .test_llm_operators import contamination
+from .test_llm_operators import classes, contamination, near_copies, rows_of
 
 
 def test_rows_without_an_id_have_their_own_hits(spark, documents):
@@ -25,6 +25,29 @@ def test_rows_without_an_id_have_their_own_hits(spark, documents):
     assert sorted(r["text"] for r in kept.collect()) == sorted([texts[0], texts[2], texts[4]]) and kept.columns == documents(rows).columns
 
 
+def test_rows_without_an_id_have_their_own_links(documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LONG", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 500)
+    rows = [(None if i % 3 == 1 else i // 40 if i % 7 == 2 else i, *rest) for i, *rest in near_copies(240, seed=4)]
+    rows += [(1000, "", "a", "en"), (None, " ", "a", "en"), (None, None, "a", "en")]
+    out = jaccard_join.similar_documents(documents(rows))
+    assert rows_of(out, "doc_id", "n_shingles", "component_id") == classes(rows)
+    kept = [(r["doc_id"], r["text"]) for r in jaccard_join.deduplicate(documents(rows)).collect()]
+    # Nothing kept links with anything else kept, and each class of the table is still there.
+    left = classes([(k, text, "a", "en") for k, (_, text) in enumerate(kept)])
+    assert all(i == smallest for i, _, smallest in left)
+    assert len(kept) == len({smallest for *_, smallest in classes([(k, *rest) for k, (_, *rest) in enumerate(rows)])})
+
+
+def test_a_chain_through_a_row_without_an_id(documents):
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words), " ".join(words[:56] + ["x"] * 4), " ".join(["y"] * 4 + words[4:56] + ["x"] * 4)]
+    out = jaccard_join.similar_documents(documents([(i, t, "a", "en") for i, t in zip([1, None, 2], texts, strict=True)]))
+    assert rows_of(out, "doc_id", "component_id") == sorted([(1, 1), (None, 1), (2, 1)], key=repr)
+    kept = jaccard_join.deduplicate(documents([(None, texts[1], "a", "en"), (None, texts[2], "a", "en"), (None, texts[2], "b", "en")]))
+    assert kept.count() == 1
+
+
 def test_tags_that_never_close_take_linear_time():
     started = time.perf_counter()
     for part in ("<a ", "<a '", '<a "', "<a x=\"y' ", "<!", "<p <", "</p ", "<a '\"", "< "):
