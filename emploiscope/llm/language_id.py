@@ -2,7 +2,8 @@
 
 A language is a probability for every piece of a public vocabulary. A word's likelihood is the sum,
 over all ways to cut it into pieces, of the product of their probabilities, computed by a forward
-recursion over its characters. A text's likelihood is the product over its words. The
+recursion over its characters, in batches of words of one length or, for long words, one by one with
+likelihoods scaled as they go. A text's likelihood is the product over its words. The
 probabilities are fitted by expectation maximisation on a bounded sample of labelled texts.
 """
 
@@ -25,7 +26,7 @@ from emploiscope.llm.workspace import Workspace
 SAMPLE_PER_LANGUAGE = 400
 ROUNDS = 3
 MAX_PIECE = 16
-STRETCH = 40
+SHORT = 40
 KNOWN_WORDS = 200_000
 FLOOR = 1e-6
 UNKNOWN = "und"
@@ -76,20 +77,42 @@ class Vocabulary:
 
     def ids(self, prefix: np.ndarray, i: int, j: int, powers: np.ndarray) -> np.ndarray:
         """Piece ids of characters i to j of every word; -1 where they are no piece and more than one character."""
-        hashes = prefix[:, j] - prefix[:, i] * powers[j - i]
+        return self.ids_of(prefix[:, j] - prefix[:, i] * powers[j - i], j - i)
+
+    def ids_of(self, hashes: np.ndarray, length: int) -> np.ndarray:
         at = np.searchsorted(self.hashes, hashes)
         at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == hashes, at, len(self.hashes) if j - i == 1 else -1)
+        return np.where(self.hashes[at] == hashes, at, len(self.hashes) if length == 1 else -1)
 
 
 def _codes(words: list[str]) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32).reshape(len(words), -1).astype(np.uint64)
 
 
-def _stretches(word: str) -> list[str]:
-    """A word with its start mark, cut into bounded stretches so that likelihoods stay within a double."""
-    marked = START + word
-    return [marked[i : i + STRETCH] for i in range(0, len(marked), STRETCH)]
+def _log_sums(probability: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Row j: log of the likelihood of the first j characters, summed over all segmentations.
+
+    ``ids[k - 1, j - 1]`` is the piece of k characters that ends at character j, or -1.
+    """
+    steps, length = ids.shape
+    # Id -1 takes the last row: no piece, no likelihood.
+    padded = np.vstack([probability, np.zeros(probability.shape[1])])
+    recent = np.zeros((steps, probability.shape[1]))
+    recent[0] = 1.0
+    shift = np.zeros(probability.shape[1])
+    out = np.zeros((length + 1, probability.shape[1]))
+    for low in range(0, length, 1024):
+        chosen = padded[ids[:, low : low + 1024]]
+        for j in range(chosen.shape[1]):
+            now = (recent * chosen[:, j]).sum(axis=0)
+            out[low + j + 1] = np.log(now) + shift
+            recent[1:] = recent[:-1].copy()
+            recent[0] = now
+            if j % steps == 0:
+                top = recent.max(axis=0)
+                recent /= top
+                shift += np.log(top)
+    return out
 
 
 @dataclass
@@ -119,6 +142,29 @@ class Model:
                     alpha[rows, j] += alpha[rows, i] * self.probability[ids[rows]]
         return alpha, ending
 
+    def pieces_of(self, word: str) -> np.ndarray:
+        """``ids[k - 1, j - 1]``: the piece of k characters that ends at character j of a word, or -1."""
+        codes = _codes([word])
+        prefix, powers = _prefix_hashes(codes)[0], _powers(MAX_PIECE)
+        ids = np.full((MAX_PIECE, len(word)), -1, dtype=np.int32)
+        for k in range(1, min(MAX_PIECE, len(word)) + 1):
+            ids[k - 1, k - 1 :] = self.vocabulary.ids_of(prefix[k:] - prefix[:-k] * powers[k], k)
+        return ids
+
+    def expected_of_long(self, word: str, counts: np.ndarray) -> np.ndarray:
+        """As ``expected``, for one word of any length."""
+        ids = self.pieces_of(word)
+        starting = np.full_like(ids, -1)
+        for k in range(1, min(MAX_PIECE, len(word)) + 1):
+            starting[k - 1, : len(word) - k + 1] = ids[k - 1, k - 1 :]
+        before, after = _log_sums(self.probability, ids), _log_sums(self.probability, starting[:, ::-1])[::-1]
+        total = np.zeros_like(self.probability)
+        for k in range(1, min(MAX_PIECE, len(word)) + 1):
+            end = np.flatnonzero(ids[k - 1] >= 0) + 1
+            piece = ids[k - 1, end - 1]
+            np.add.at(total, piece, np.exp(before[end - k] + after[end] - before[-1]) * self.probability[piece] * counts)
+        return total
+
     def expected(self, words: list[str], counts: np.ndarray) -> np.ndarray:
         """Expected piece counts of words (all of one length, ``counts[word, language]``) over all segmentations."""
         codes = _codes(words)
@@ -145,13 +191,16 @@ class Model:
         by_length: dict[int, list[tuple[int, str]]] = {}
         logs = np.zeros((len(new), len(self.languages)))
         for k, word in enumerate(new):
-            for part in _stretches(word):
-                by_length.setdefault(len(part), []).append((k, part))
+            marked = START + word
+            if len(marked) > SHORT:
+                logs[k] = _log_sums(self.probability, self.pieces_of(marked))[-1]
+            else:
+                by_length.setdefault(len(marked), []).append((k, marked))
         for parts in by_length.values():
             for low in range(0, len(parts), 4096):
                 index, strings = zip(*parts[low : low + 4096], strict=True)
                 alpha, _ = self.forward(_codes(list(strings)))
-                np.add.at(logs, list(index), np.log(alpha[:, -1]))
+                logs[list(index)] = np.log(alpha[:, -1])
         base = len(self.known)
         self.known.update(zip(new, range(base, base + len(new)), strict=True))
         self.scores.append(logs)
@@ -208,11 +257,15 @@ def fit(labelled: DataFrame, pieces: list[str], per_language: int = SAMPLE_PER_L
     by_length: dict[int, dict[str, np.ndarray]] = {}
     # In a fixed order, so that sums do not depend on how rows arrive.
     for lang, word, times in sorted(words.itertuples(index=False)):
-        for part in _stretches(word):
-            by_length.setdefault(len(part), {}).setdefault(part, np.zeros(len(languages)))[place[lang]] += times
+        marked = START + word
+        by_length.setdefault(len(marked), {}).setdefault(marked, np.zeros(len(languages)))[place[lang]] += times
     for _ in range(ROUNDS):
         total = np.zeros_like(model.probability)
-        for parts in by_length.values():
+        for length, parts in by_length.items():
+            if length > SHORT:
+                for word, times in parts.items():
+                    total += model.expected_of_long(word, times)
+                continue
             strings, counts = list(parts), np.array(list(parts.values()))
             for low in range(0, len(strings), 8192):
                 total += model.expected(strings[low : low + 8192], counts[low : low + 8192])
