@@ -20,7 +20,7 @@ from emploiscope.llm.workspace import bounded_batches
 UNKNOWN = "unknown"
 
 # Sentences of public licences, normalised as by normalise(), and their identifiers.
-# In a pattern, V stands for a version, ANY for a few words.
+# In a pattern, V stands for a version, ANY for any words.
 SENTENCES = [
     ("apache-under", "(?:this (?:work|file|software|project|text) is )?licensed under the apache license,? version V(?: the license)?"),
     ("apache-under", "(?:this (?:work|file|software|project|text) is )?(?:licensed|released) under (?:the )?apache license"),
@@ -49,7 +49,7 @@ SENTENCES = [
     ("agpl-under", "(?:this (?:work|file|software|project|text) is )?(?:licensed|released) under the gnu affero general public license,?(?: version V)?(?: or later)?"),
     ("gpl-hope", "this program is distributed in the hope that it will be useful,? but without any warranty ANY"),
     ("gpl-details", "see the gnu general public license for more details"),
-    ("mpl-under", "this source code form is subject to the terms of the mozilla public license,? v ?V"),
+    ("mpl-under", "this source code form is subject to the terms of the mozilla public license,? v[.]? ?V"),
     ("mpl-under", "(?:this (?:work|file|software|project|text) is )?(?:licensed|released) under the mozilla public license,?(?: version V)?"),
     ("cc-under", "(?:this (?:work|file|article|text) is )?licensed under (?:a |the )?(?:creative commons |cc )(?P<kind>by(?: nc)?(?: sa| nd)?|zero|0)(?: license)?(?: V)?(?: ANY)?"),
     ("cc-under", "(?:this (?:work|file|article|text) is )?licensed under (?:a |the )?creative commons (?P<long>attribution(?: noncommercial| non commercial)?(?: sharealike| share alike| noderivatives| no derivatives)?)(?: V)?(?: international)?(?: license)?(?: V)?"),
@@ -87,10 +87,12 @@ RULES = [
 
 # A sentence without one of these can't be a licence sentence.
 _TELLING = ("licen", "permission", "redistribut", "copyright", "warrant", "public domain", "as is", "spdx", "rights reserved", "in no event", "endorse")
-_SENTENCE = re.compile(r"(?<=[.!?])[\s\"')\]]+(?=[^\s])|\n\s*\n|\n(?=\s*(?:[-*•]|\d+[.)])\s)")
+# No sentence ends inside "v. 2.0"; what the short Apache header says after its semicolon is one of its own.
+_SENTENCE = re.compile(r"(?<=;)\s+(?=you may not use this file)|(?<=[.!?])(?<!\b[vV]\.)[\s\"')\]]+(?=[^\s])|\n\s*\n|\n(?=\s*(?:[-*•]|\d+[.)])\s)")
 # What a comment puts before each of its lines, and the ends of a block comment.
 _LEADER = re.compile(r"^[ \t]*(?P<mark>/\*+|\*+/|//+!?|\#+|--+|;+|%+|\*|<!--|-->)(?=[ \t\n]|$)", re.M)
 _CLOSING = re.compile(r"[ \t]*(?:\*+/|-->)[ \t]*$", re.M)
+_SPDX_LINE = re.compile(r"^(.*SPDX-License-Identifier:.*)$", re.M | re.I)
 _NOISE = re.compile(r"[^a-z0-9.,]+")
 _LICENCE_LIKE = re.compile(r"\b(?:licen[sc]e[ds]?|permission is|redistribut\w+|warrant\w+|public domain)\b")
 
@@ -106,7 +108,7 @@ def _compiled() -> list[tuple[str, re.Pattern]]:
     out = []
     for name, pattern in SENTENCES:
         pattern = pattern.replace("V", r"(?:v ?)?(?P<version>\d+(?:\.\d+)*)", 1).replace("V", r"\d+(?:\.\d+)*")
-        pattern = pattern.replace(" ANY", r",? ?[^!]{0,600}?").replace("ANY", r"[^!]{0,600}?")
+        pattern = pattern.replace(" ANY", r",? ?.*?").replace("ANY", r".*?")
         out.append((name, re.compile(pattern)))
     return out
 
@@ -189,7 +191,7 @@ def scan_text(text: str) -> tuple[list[str], list[str]]:
     if not any(x in lowered for x in _TELLING):
         return [], []
     found = []
-    for line in _SENTENCE.split(without_leaders(text)):
+    for line in _SENTENCE.split(_SPDX_LINE.sub(r"\n\1\n", without_leaders(text))):
         hit = recognise(line) if line else None
         if hit and hit[0] == UNKNOWN and "\n" in line:
             # Other text without a full stop may stand in the lines around.

@@ -3,7 +3,10 @@
 import random
 import time
 
-from emploiscope.llm import decontaminate, dom_boost, jaccard_join
+import numpy as np
+import pytest
+
+from emploiscope.llm import decontaminate, dom_boost, jaccard_join, language_id, license_rules
 
 from .test_llm_operators import classes, contamination, near_copies, rows_of
 
@@ -69,3 +72,40 @@ def test_framed_pages_keep_their_article(spark):
     pages = spark.createDataFrame([(i, "u", layouts[i % len(layouts)]) for i in range(40)], "page_id bigint, url string, html string")
     for r in dom_boost.extract_main_text(pages).collect():
         assert r["text"] == text, layouts[r["page_id"] % len(layouts)]
+
+
+def test_long_words_sum_all_segmentations():
+    random.seed(3)
+    pieces = ["▁", "a", "b", "ab", "ba", "▁a", "aba", "bab", "abbabaab"]
+    vocabulary = language_id.Vocabulary.of(pieces)
+    values = np.random.default_rng(1).random((len(pieces) + 1, 2)) / 3
+    model = language_id.Model(vocabulary, ["x", "y"], values, np.zeros(2))
+    for length in (1, 39, 40, 41, 57, 200):
+        word = "▁" + "".join(random.choice("abc") for _ in range(length))
+        # These likelihoods are within a double, so the batched recursion has no need of scaling.
+        plain, _ = model.forward(language_id._codes([word]))
+        assert language_id._log_sums(values, model.pieces_of(word)) == pytest.approx(np.log(plain[0]))
+        assert model.expected_of_long(word, np.array([2.0, 1.0])) == pytest.approx(model.expected([word], np.array([[2.0, 1.0]])))
+    logs = language_id._log_sums(values * 1e-5, model.pieces_of("▁" + "ab" * 2000))
+    assert np.isfinite(logs).all() and (logs[-1] < -5000).all()
+    started = time.perf_counter()
+    model.classify(["ab" * 50_000])
+    assert time.perf_counter() - started < 30
+
+
+def test_licence_sentences_of_any_length():
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+    notice = "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    as_is = "The software is provided \"as is\", without warranty of any kind, express or implied, including but not limited to fitness."
+    for words in (1, 200, 20_000):
+        tail = "including the rights to use" + " and to use" * words + "."
+        assert license_rules.scan_text(f"{grant}{tail}\n\n{notice}\n\n{as_is}")[0] == ["MIT"], words
+    cases = {
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.': ["Apache-2.0"],
+        "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License.": ["Apache-2.0"],
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": ["MPL-2.0"],
+        "// SPDX-License-Identifier: (MIT OR Apache-2.0)\nint x;": ["mit-or-apache-2.0"],
+        "int y;\n# SPDX-License-Identifier: MIT\nimport x": ["mit"],
+    }
+    for text, expected in cases.items():
+        assert license_rules.scan_text(text)[0] == expected, text
