@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from emploiscope.operators.latest import latest_snapshot
-from emploiscope.operators.nearest import nearest_places
+from emploiscope.operators.nearest import LEAF, nearest_places, place_tree
 from emploiscope.plans import current_state, intermediate
 from emploiscope.sources import sink
 
@@ -84,6 +84,21 @@ def test_nearest_against_all_pairs(spark, spread_out):
     assert nearest_places(df.limit(0), spark.createDataFrame(places, "code string, latitude double, longitude double"), "code").count() == 0
 
 
+def test_a_dense_region_is_divided_and_copies_count_once(spark):
+    random.seed(8)
+    places = [(f"p{k:04d}", random.gauss(48.85, 0.01), random.gauss(2.35, 0.01)) for k in range(600)]
+    schema = "code string, latitude double, longitude double"
+    copied = [(f"{code}{copy}", *place) for code, *place in places for copy in range(5)]
+    points = [(random.gauss(48.85, 0.02), random.gauss(2.35, 0.02)) for _ in range(200)] + [(40.0 + k / 1000, 2.0) for k in range(20)]
+    df = spark.createDataFrame(points, "latitude double, longitude double")
+    found = {(r["latitude"], r["longitude"]): r["code"] for r in nearest_places(df, spark.createDataFrame(copied, schema), "code").collect()}
+    assert found == brute(points, copied)
+    known = spark.createDataFrame([(lat, lon, code) for code, lat, lon in places], "lat double, lon double, key string")
+    nodes = [r for level in place_tree(known) for r in level.collect()]
+    assert sorted(p["key"] for r in nodes for p in r["_places"] or ()) == [code for code, _, _ in places]
+    assert max(len(r["_places"] or ()) for r in nodes) <= LEAF and max(len(r["_children"] or ()) for r in nodes) <= 16
+
+
 def test_no_pair_of_every_point_and_place(spark, plan):
     offers = spark.createDataFrame([("a", 48.9, 2.3), ("b", None, None)], "offre_id string, latitude double, longitude double")
     communes = spark.createDataFrame([("75056", 48.86, 2.35), ("69123", 45.76, 4.83)], "code string, centre_lat double, centre_lon double")
