@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from emploiscope.llm import personal_data, prefix_trie, queries, source_divergence
+from emploiscope.llm import personal_data, prefix_trie, queries, source_divergence, table_boost
 from emploiscope.llm.workspace import Workspace
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -140,6 +140,36 @@ def test_personal_data_in_other_forms(spark, documents, edge_rows):
     assert personal_data.redact(text[700], spans) == "ordinary words stand before [email] and some words after it"
 
 
+def test_all_findings_are_fitted_and_set_the_thresholds(spark, monkeypatch):
+    random.seed(5)
+    rows = []
+    for _ in range(400):
+        x = [random.randint(0, 9) / 2.0 for _ in range(6)]
+        rows.append((int(x[1] + x[4] + random.random() > 5), x))
+    df = spark.createDataFrame(rows, "label int, features array<float>")
+    whole = table_boost.boost_table(df, 6)
+    monkeypatch.setattr(table_boost, "DRIVER_ROWS", 0)
+    monkeypatch.setattr(table_boost, "TREES", 3)
+    dealt = table_boost.boost_table(df.repartition(3), 6)
+    assert (whole.feature[:3] == dealt.feature).all() and (whole.threshold[:3] == dealt.threshold).all() and (whole.value[:3] == dealt.value).all()
+    assert table_boost.boost_table(df.filter("label = 1"), 6) is None and table_boost.boost_table(df.limit(0), 6) is None
+
+    scored = [(0, int(random.random() > max(0.0, 0.7 - i / 3000) / 5), 0.5 + i / 8000) for i in range(3000)]
+    scored += [(1, i % 2, 0.9) for i in range(10)] + [(2, 1, 0.8), (2, 1, 0.7), (2, 0, 0.7), (2, 0, 0.6)]
+    got = personal_data.thresholds(spark.createDataFrame(scored, "kind int, label int, score double"))
+
+    def plain(kind):
+        mine, least = sorted({s for k, _, s in scored if k == kind}, reverse=True), None
+        for s in mine:
+            taken = [label for k, label, t in scored if k == kind and t >= s]
+            if sum(taken) / len(taken) >= personal_data.PRECISION and any(label for k, label, t in scored if k == kind and t == s):
+                least = s
+        return 2.0 if least is None else max(0.5, (least + max([s for s in mine if s < least], default=0)) / 2)
+
+    assert got[1:].tolist() == [plain(1), plain(2), 2.0] == [2.0, 0.75, 2.0]
+    assert 0.5 < got[0] == plain(0) < 0.875
+
+
 def test_personal_data_digest(spark, tmp_path):
     rows = [(1, "mail a@b.cd or 1.2.3.4"), (2, None), (3, "")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
